@@ -149,31 +149,31 @@ def topic_list(spark, sf_dir):
 
 @register("clean_text")
 def clean_text_serve(spark, sf_dir):
-    return views.messages(spark, sf_dir).select("id", clean_text("Text").alias("text"))
+    return views.texts(spark, sf_dir).select("id", clean_text("Text").alias("text"))
 
 
 @register("clean_text_train")
 def clean_text_train(spark, sf_dir):
-    return views.messages(spark, sf_dir).select("id", clean_text("Text", "train").alias("text"))
+    return views.texts(spark, sf_dir).select("id", clean_text("Text", "train").alias("text"))
 
 
 @register("tokens")
 def tokens(spark, sf_dir):
-    rows = training.prepare(views.messages(spark, sf_dir), "train")
+    rows = training.prepare(views.texts(spark, sf_dir), "train")
     split = terms.tokenize(rows.select("id", "Text"))
     return split.select("id", F.array_join("tokens", "|").alias("tokens"))
 
 
 @register("tokens_filtered")
 def tokens_filtered(spark, sf_dir):
-    rows = training.prepare(views.messages(spark, sf_dir), "train")
+    rows = training.prepare(views.texts(spark, sf_dir), "train")
     kept = terms.content_tokens(rows.select("id", "Text"))
     return kept.select("id", F.array_join("final_tokens", "|").alias("tokens"))
 
 
 @register("vocabulary")
 def vocabulary(spark, sf_dir):
-    rows = training.prepare(views.messages(spark, sf_dir)).select("Text")
+    rows = training.prepare(views.texts(spark, sf_dir)).select("Text")
     return terms.vocabulary(terms.content_tokens(rows))
 
 
@@ -398,7 +398,7 @@ _models: dict[tuple[str, str], training.SentimentModel] = {}
 
 
 def _split(spark, sf_dir):
-    rows = views.messages(spark, sf_dir).select("id", "Label", "Text")
+    rows = views.texts(spark, sf_dir).select("id", "Label", "Text")
     return training.prepare(rows).randomSplit([0.8, 0.2], seed=17)
 
 
@@ -411,7 +411,7 @@ def _model(spark, sf_dir) -> training.SentimentModel:
 
 @register("predict")
 def predict(spark, sf_dir):
-    rows = training.prepare(views.messages(spark, sf_dir)).select("id", "Label", "Text")
+    rows = training.prepare(views.texts(spark, sf_dir)).select("id", "Label", "Text")
     scored = _model(spark, sf_dir).score(rows)
     return scored.select("id", F.col("Label").alias("label"), "prediction", "sentiment_label")
 
@@ -428,7 +428,7 @@ def model_roundtrip(spark, sf_dir):
     model = _model(spark, sf_dir)
     model.save(path)
     kept = training.SentimentModel.load(path)
-    rows = training.prepare(views.messages(spark, sf_dir)).select("Text")
+    rows = training.prepare(views.texts(spark, sf_dir)).select("Text")
     both = kept.pipeline.transform(
         model.pipeline.transform(rows).select("Text", F.col("prediction").alias("before"))
     )

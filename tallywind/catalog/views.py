@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywind.operators.windows import windowed_sentiment
+from tallywind.sources.files import spread
 from tallywind.sources.messages import to_messages
 
 AS_OF = datetime(2024, 1, 30, 12)
@@ -54,9 +55,14 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages, over all cores: for work that is dear per text."""
+    return spread(messages(spark, sf_dir), "id")
+
+
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages as JSON; some are not valid, some lack the time."""
-    rows = messages(spark, sf_dir)
+    rows = texts(spark, sf_dir)
     kind = F.col("id").cast("long") % 30
     whole = to_messages(rows.withColumn("kind", kind), F.col("event_time"), carry=("kind",))
     text = F.col("value").cast("string")

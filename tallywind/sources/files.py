@@ -88,3 +88,11 @@ def read_archive(spark: SparkSession, path: str, *, date_range=None) -> DataFram
     if date_range is not None:
         posts = posts.filter(F.col("event_date").between(*(F.lit(d) for d in date_range)))
     return posts.select(*SCORED_POST.names)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores, where the files make too few tasks to use even half
+    of them. Cleaning a text costs far more than moving it once; a table with
+    more splits than that is left where it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() <= cores // 2 else df

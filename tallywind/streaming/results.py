@@ -52,15 +52,18 @@ def run_number(spark: SparkSession, log: str, checkpoint: str) -> int:
     return number
 
 
-def write_changes(changes: DataFrame, log: str, run_id: int, batch_id: int, files: int) -> None:
-    """Write the changed rows of one batch, spread over `files` tasks."""
+def write_changes(
+    changes: DataFrame, log: str, run_id: int, batch_id: int, files_per_date: int
+) -> None:
+    """Write the changed rows of one batch, at most `files_per_date` files a date."""
     typed = changes.select(
         *(F.col(f.name).cast(f.dataType).alias(f.name) for f in WINDOWED_RESULT.fields),
         F.to_date("window_start").alias("window_date"),
     )
-    # The rows are totals already; spreading them by key keeps the number of
-    # files of a batch down without passing it through one task.
-    spread = typed.repartition(files, "window_start", "topic")
+    # The rows are totals already, few per date; gathering them by date keeps
+    # small files down, and the bucket keeps a date from being one task.
+    bucket = F.pmod(F.xxhash64("window_start", "topic"), F.lit(files_per_date))
+    spread = typed.repartition("window_date", bucket)
     target = f"{log}/run_id={run_id}/batch_id={batch_id}"
     writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy("window_date").parquet(target)
@@ -72,14 +75,14 @@ def start_upsert(
     checkpoint: str,
     *,
     available_now: bool = False,
-    files_per_batch: int = 8,
+    files_per_date: int = 2,
     name: str | None = None,
 ) -> StreamingQuery:
     """Keep `log` up to date with a windowed stream (update mode)."""
     run_id = run_number(windowed.sparkSession, log, checkpoint)
 
     def upsert(changes: DataFrame, batch_id: int) -> None:
-        write_changes(changes, log, run_id, batch_id, files_per_batch)
+        write_changes(changes, log, run_id, batch_id, files_per_date)
 
     writer = windowed.writeStream.outputMode("update").foreachBatch(upsert)
     writer = writer.option("checkpointLocation", checkpoint)
