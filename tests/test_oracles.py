@@ -1,0 +1,50 @@
+"""Every query against its SQL, and the shape of the entry file."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from tests.helpers import comparable
+
+QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# What no SQL expresses: results of a fitted classifier.
+WITHOUT_SQL = {"predict", "evaluate_model", "stream_score"}
+
+
+@pytest.fixture(scope="module")
+def database(tables):
+    connection = duckdb.connect()
+    for file in sorted(os.listdir(tables)):
+        name = file.split(".")[0]
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tables}/{file}'")
+    return connection
+
+
+def test_all_queries_have_sql_but_those_of_the_model():
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+    assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(name, spark, tables, database):
+    found = QUERIES[name](spark, tables).toPandas()
+    wanted = database.execute(ORACLES[name]).fetchdf()
+    assert sorted(found.columns) == sorted(wanted.columns)
+    assert comparable(found) == comparable(wanted)
+
+
+def test_model_queries_cover_all_texts(spark, tables, database):
+    texts = database.execute("SELECT count(*) FROM documents").fetchone()[0]
+    assert QUERIES["stream_score"](spark, tables).count() == texts
+    labels = {r[0] for r in database.execute("SELECT DISTINCT lang FROM documents").fetchall()}
+    scored = QUERIES["predict"](spark, tables)
+    assert {r[0] for r in scored.select("sentiment_label").distinct().collect()} <= labels
+    held_out = QUERIES["evaluate_model"](spark, tables).first()
+    assert 0 < held_out["row_count"] < texts
+    assert held_out["accuracy"] > 0.6
+
+
+def test_entry(spark):
+    assert entry.entry(spark).columns[:3] == ["window_start", "window_end", "topic"]
