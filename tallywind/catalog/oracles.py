@@ -227,6 +227,9 @@ ORACLES: dict[str, str] = {
     "scored_projection": f"""
 WITH {_SCORED} SELECT id, topic, text, event_time_ts, sentiment_label FROM scored""",
     "results_filter": f"""{_over_range(2880, "topic_3")}
+SELECT window_start, window_end, topic, total_mentions, positive, neutral, negative,
+       round(sentiment_score, 6) AS sentiment_score FROM ranged""",
+    "results_stored": f"""{_over_range(2880, "topic_3")}
 SELECT window_start, window_end, topic, total_mentions, positive, neutral, negative,
        round(sentiment_score, 6) AS sentiment_score FROM ranged""",
     "kpi_summary": f"{_over_range(10080)} SELECT {_SUMS} FROM ranged",

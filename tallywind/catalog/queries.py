@@ -21,7 +21,8 @@ from tallywind.functions.times import event_timestamp, zoneless_times
 from tallywind.operators import evaluation, posts, profile, report, serving, terms
 from tallywind.operators.windows import WATERMARK_BY_WIDTH, windowed_sentiment
 from tallywind.plans import collecting, scoring, training
-from tallywind.schemas import MESSAGE, SCORED_POST, WINDOWED_RESULT
+from tallywind.plans.panels import current_range
+from tallywind.schemas import SCORED_POST, WINDOWED_RESULT
 from tallywind.session import new_folder, pin_utc
 from tallywind.sources import files
 from tallywind.sources.messages import (
@@ -32,7 +33,7 @@ from tallywind.sources.messages import (
     to_messages,
 )
 from tallywind.streaming.archive import start_archive
-from tallywind.streaming.results import read_results, start_upsert
+from tallywind.streaming.results import read_results, start_upsert, write_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,6 +94,15 @@ def results_filter(spark, sf_dir):
     return _rounded(_range(spark, sf_dir, 2880, "topic_3"), "sentiment_score")
 
 
+@register("results_stored")
+def results_stored(spark, sf_dir):
+    """The same range of a stored table, where it prunes folders and row groups."""
+    log = new_folder(spark, "stored")
+    write_changes(views.results(spark, sf_dir), log, 0, 0, files_per_date=2)
+    current = current_range(spark, [log], AS_OF, 2880, "topic_3")
+    return _rounded(current.select(*WINDOWED_RESULT.names), "sentiment_score")
+
+
 @register("kpi_summary")
 def kpi_summary(spark, sf_dir):
     return serving.kpi_summary(_range(spark, sf_dir, 10080))
@@ -243,13 +253,14 @@ def csv_roundtrip_exact(spark, sf_dir):
 # Collected posts
 
 
-def _flat(spark, sf_dir):
-    return posts.flatten_posts(views.posts(spark, sf_dir), views.users(spark, sf_dir), "seen")
+def _flat(spark, sf_dir, rows=None):
+    rows = views.posts(spark, sf_dir) if rows is None else rows
+    return posts.flatten_posts(rows, views.users(spark, sf_dir), "seen")
 
 
 def _collected(spark, sf_dir):
     return collecting.collect(
-        views.posts(spark, sf_dir),
+        files.spread(views.posts(spark, sf_dir), "id"),
         views.users(spark, sf_dir),
         "seen",
         KEYWORDS,
@@ -264,7 +275,8 @@ def _text_user_id(flat):
 
 @register("post_flatten")
 def post_flatten(spark, sf_dir):
-    return _text_user_id(posts.scrub_lines(_flat(spark, sf_dir)))
+    rows = files.spread(views.posts(spark, sf_dir), "id")
+    return _text_user_id(posts.scrub_lines(_flat(spark, sf_dir, rows)))
 
 
 @register("post_author_join")

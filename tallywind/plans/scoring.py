@@ -65,11 +65,17 @@ def start_direct(
     return [archive, *start_windows(scored, root, available_now=available_now)]
 
 
-def start_from_archive(scored: DataFrame, root: str) -> list[StreamingQuery]:
-    """Score once into the archive, and aggregate the archive as it grows."""
-    spark = scored.sparkSession
-    archive = start_archive(scored, archive_path(root), _checkpoint(root, "archive"))
-    return [archive, *start_windows(archive_stream(spark, archive_path(root)), root)]
+def start_from_archive(
+    scored: DataFrame, root: str, max_files_per_trigger: int | None = None
+) -> list[StreamingQuery]:
+    """Score once into the archive, and aggregate the archive as it grows. A bound
+    on the files of a batch keeps the windows' catch-up to a size that fits."""
+    path = archive_path(root)
+    archive = start_archive(scored, path, _checkpoint(root, "archive"))
+    posts = archive_stream(
+        scored.sparkSession, path, max_files_per_trigger=max_files_per_trigger
+    )
+    return [archive, *start_windows(posts, root)]
 
 
 def run_from_archive(scored: DataFrame, root: str) -> None:
@@ -83,10 +89,17 @@ def run_from_archive(scored: DataFrame, root: str) -> None:
         query.awaitTermination()
 
 
-def run(spark: SparkSession, options: dict[str, str], model_path: str, root: str) -> None:
+def run(
+    spark: SparkSession,
+    options: dict[str, str],
+    model_path: str,
+    root: str,
+    max_files_per_trigger: int | None = None,
+) -> None:
     """Run until one of the queries ends."""
     model = SentimentModel.load(model_path)
-    start_from_archive(score_messages(kafka_stream(spark, options), model), root)
+    scored = score_messages(kafka_stream(spark, options), model)
+    start_from_archive(scored, root, max_files_per_trigger)
     spark.streams.awaitAnyTermination()
 
 
@@ -96,6 +109,7 @@ def main() -> None:
     parser.add_argument("--topic", required=True)
     parser.add_argument("--starting", default="latest")
     parser.add_argument("--max-offsets-per-trigger", type=int)
+    parser.add_argument("--max-files-per-trigger", type=int)
     parser.add_argument("--model", required=True)
     parser.add_argument("--output", required=True)
     parser.add_argument("--shuffle-partitions", type=int)
@@ -119,7 +133,7 @@ def main() -> None:
         starting=args.starting,
         max_offsets_per_trigger=args.max_offsets_per_trigger,
     )
-    run(spark, options, args.model, args.output)
+    run(spark, options, args.model, args.output, args.max_files_per_trigger)
 
 
 if __name__ == "__main__":

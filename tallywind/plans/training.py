@@ -29,7 +29,7 @@ from tallywind.functions.stopwords import ENGLISH
 from tallywind.functions.text import clean_text
 from tallywind.operators.evaluation import confusion_matrix
 from tallywind.operators.profile import drop_null_rows, null_profile
-from tallywind.session import build_session
+from tallywind.session import build_session, new_folder
 from tallywind.sources.files import read_labelled_csv
 
 # Hyper-parameters of the classifier.
@@ -89,17 +89,26 @@ def label_mapping(df: DataFrame, indexer: StringIndexerModel, label: str = "Labe
     )
 
 
-def text_stages() -> list:
+def token_stages() -> list:
+    """Text to tokens; nothing here is fitted."""
     return [
         Tokenizer(inputCol="Text", outputCol="tokens"),
         StopWordsRemover(inputCol="tokens", outputCol="filtered_tokens", stopWords=ENGLISH),
         BlankTokenFilter(inputCol="filtered_tokens", outputCol="final_tokens"),
+    ]
+
+
+def fitted_stages() -> list:
+    return [
         CountVectorizer(
             inputCol="final_tokens",
             outputCol="features",
             vocabSize=VOCABULARY_SIZE,
             minDF=MIN_DOCUMENTS,
         ),
+        LogisticRegression(
+            maxIter=MAX_ITERATIONS, labelCol=LABEL_INDEX, featuresCol="features"
+        ),
     ]
 
 
@@ -108,19 +117,24 @@ def prepare(labelled: DataFrame, variant: str = "serve") -> DataFrame:
     return drop_null_rows(labelled, ["Text"]).withColumn("Text", clean_text("Text", variant))
 
 
-def fit(labelled: DataFrame) -> SentimentModel:
+def fit(labelled: DataFrame, tokens_path: str | None = None) -> SentimentModel:
     """Fit on prepared rows (`prepare`).
 
-    Only label and text are read; the classifier keeps the vectors of a pass in
-    blocks, spilling to disk, so its iterations do not tokenize again.
+    Labels, term counts and the classifier's statistics and blocks each need a
+    pass of their own. The tokens are therefore written once, by default to a new
+    folder of the shared root, and read by all passes: texts are cleaned and split
+    only once, and a lost executor costs a read. The classifier keeps its blocks
+    itself, in memory and on disk. The folder can be removed after the fit.
     """
-    rows = labelled.select("Label", "Text")
-    labels = label_indexer(rows)
-    classifier = LogisticRegression(
-        maxIter=MAX_ITERATIONS, labelCol=LABEL_INDEX, featuresCol="features"
-    )
-    pipeline = Pipeline(stages=[*text_stages(), classifier])
-    return SentimentModel(pipeline.fit(labels.transform(rows)), labels)
+    spark = labelled.sparkSession
+    path = tokens_path or new_folder(spark, "tokens")
+    to_tokens = PipelineModel(token_stages())
+    rows = to_tokens.transform(labelled.select("Label", "Text")).select("Label", "final_tokens")
+    rows.write.parquet(path)
+    written = spark.read.schema(rows.schema).parquet(path)
+    labels = label_indexer(written)
+    fitted = Pipeline(stages=fitted_stages()).fit(labels.transform(written))
+    return SentimentModel(PipelineModel([*to_tokens.stages, *fitted.stages]), labels)
 
 
 def predicted(model: SentimentModel, labelled: DataFrame) -> DataFrame:

@@ -31,18 +31,20 @@ def read_labelled_csv(
     path: str | Sequence[str],
     *,
     columns: Sequence[str] = tuple(LABELLED_TEXT.names),
-    schema: T.StructType = LABELLED_TEXT,
+    schema: T.StructType | None = LABELLED_TEXT,
     multi_line: bool = True,
     keep_empty: bool = False,
 ) -> DataFrame:
     """Headerless CSV of labelled texts; columns are named by position. A quoted
-    empty field is null, as Spark reads it, unless `keep_empty`.
+    empty field is null, as Spark reads it, unless `keep_empty`. Without a schema
+    Spark infers the types, which costs a pass over the files.
 
     Texts may hold line breaks. A file read that way is one task, so keep such
     files to some hundred MB each, or pass `multi_line=False` for files with one
     record per line, which Spark splits.
     """
-    reader = spark.read.schema(schema).option("header", False).option("multiLine", multi_line)
+    reader = spark.read.option("header", False).option("multiLine", multi_line)
+    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
     empties = _EMPTY_IS_TEXT if keep_empty else {}
     return reader.options(**_QUOTING, **empties).csv(path).toDF(*columns)
 

@@ -15,14 +15,11 @@ def start_archive(
     checkpoint: str,
     *,
     available_now: bool = False,
-    name: str | None = None,
 ) -> StreamingQuery:
     """Append scored posts as Parquet, one folder per event date."""
     dated = scored.select(*SCORED_POST.names, F.to_date("event_time_ts").alias("event_date"))
     writer = dated.writeStream.outputMode("append").format("parquet").partitionBy("event_date")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
-    if name is not None:
-        writer = writer.queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -43,12 +43,14 @@ def run_number(spark: SparkSession, log: str, checkpoint: str) -> int:
     numbers of the log where the checkpoint is new."""
     marker = f"{checkpoint}/run_number"
     kept = _read_or_none(spark, T.StructType([T.StructField("run_id", T.LongType())]), marker)
-    if kept is not None:
-        return kept.first()["run_id"]
+    row = None if kept is None else kept.first()
+    if row is not None:
+        return row["run_id"]
     logged = _read_or_none(spark, _LOG, log)
     newest = None if logged is None else logged.agg(F.max("run_id")).first()[0]
     number = 0 if newest is None else newest + 1
-    spark.range(number, number + 1).toDF("run_id").coalesce(1).write.parquet(marker)
+    row = spark.range(number, number + 1).toDF("run_id").coalesce(1)
+    row.write.mode("overwrite").parquet(marker)
     return number
 
 
@@ -76,7 +78,6 @@ def start_upsert(
     *,
     available_now: bool = False,
     files_per_date: int = 2,
-    name: str | None = None,
 ) -> StreamingQuery:
     """Keep `log` up to date with a windowed stream (update mode)."""
     run_id = run_number(windowed.sparkSession, log, checkpoint)
@@ -86,8 +87,6 @@ def start_upsert(
 
     writer = windowed.writeStream.outputMode("update").foreachBatch(upsert)
     writer = writer.option("checkpointLocation", checkpoint)
-    if name is not None:
-        writer = writer.queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

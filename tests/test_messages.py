@@ -108,6 +108,14 @@ def test_csv_single_line_files(spark, tmp_path):
     assert rows(got) == [(1, "x", "Positive", 'he said "hi"'), (2, "y", "Negative", "plain")]
 
 
+def test_csv_types_may_be_inferred(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1,x,2.5\n2,y,3\n")
+    df = files.read_labelled_csv(
+        spark, str(tmp_path / "a.csv"), columns=["n", "t", "v"], schema=None
+    )
+    assert dict(df.dtypes) == {"n": "int", "t": "string", "v": "double"}
+
+
 def test_spread_only_coarse_tables(spark):
     few = spark.range(10).coalesce(1)
     many = spark.range(0, 10, 1, 4)

@@ -86,6 +86,26 @@ def test_save_overwrites_and_load(spark, model, labelled, tmp_path):
     assert before == after
 
 
+def test_predictions_follow_from_the_stored_coefficients(model, labelled):
+    """Counts, margins and the choice of a label, worked out by hand."""
+    import numpy as np
+
+    from tallywind.functions.stopwords import ENGLISH
+
+    counts, classifier = model.pipeline.stages[-2:]
+    place = {term: i for i, term in enumerate(counts.vocabulary)}
+    weights = classifier.coefficientMatrix.toArray()
+    scored = model.score(training.prepare(labelled)).select("Text", "sentiment_label").collect()
+    assert len(scored) == 150
+    for row in scored:
+        vector = np.zeros(len(place))
+        for token in row.Text.split(" "):
+            if token in place and token not in ENGLISH:
+                vector[place[token]] += 1
+        margins = weights @ vector + classifier.interceptVector.toArray()
+        assert model.labels.labels[int(margins.argmax())] == row.sentiment_label
+
+
 def test_evaluator_agrees_with_operator(model, labelled):
     from tallywind.operators.evaluation import accuracy
 
