@@ -28,11 +28,14 @@ def collect(
     *,
     as_of: datetime,
     since: datetime | None = None,
+    until: datetime | None = None,
     newest: int | None = None,
 ) -> DataFrame:
     """Flat posts of all keywords, with their keyword. The search comes first, so
     that only posts it found meet their authors."""
-    found = collect_by_keywords(posts, keywords, as_of=as_of, since=since, newest=newest)
+    found = collect_by_keywords(
+        posts, keywords, as_of=as_of, since=since, until=until, newest=newest
+    )
     return scrub_lines(flatten_posts(found, users, user_order, carry=("keyword",)))
 
 
@@ -51,6 +54,9 @@ def main() -> None:
     parser.add_argument("--posts", required=True)
     parser.add_argument("--users", required=True)
     parser.add_argument("--user-order", required=True, help="column that ranks repeated users")
+    parser.add_argument("--user-order-type", default="timestamp", help="its type")
+    parser.add_argument("--since", type=datetime.fromisoformat, help="default: seven days ago")
+    parser.add_argument("--until", type=datetime.fromisoformat)
     parser.add_argument("--keyword", action="append", required=True)
     parser.add_argument("--newest", type=int)
     parser.add_argument("--output", required=True)
@@ -58,12 +64,19 @@ def main() -> None:
     spark = build_session("tallywind-collecting")
     as_of = datetime.now(timezone.utc)
     posts = spark.read.schema(POST).json(args.posts)
-    ranked = T.StructType(USER.fields + [T.StructField(args.user_order, T.StringType())])
+    ranked = T.StructType(USER.fields).add(args.user_order, args.user_order_type)
     users = spark.read.schema(ranked).json(args.users)
     # Written once; the summary, the files per keyword and the report read it back.
     table = f"{args.output}/posts"
     collect(
-        posts, users, args.user_order, args.keyword, as_of=as_of, newest=args.newest
+        posts,
+        users,
+        args.user_order,
+        args.keyword,
+        as_of=as_of,
+        since=args.since,
+        until=args.until,
+        newest=args.newest,
     ).write.mode("overwrite").parquet(table)
     flat = spark.read.parquet(table)
     if flat.isEmpty():
