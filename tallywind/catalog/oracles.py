@@ -305,7 +305,8 @@ WITH {_MESSAGES} SELECT doc_id AS id, topic, label, text FROM messages""",
     "post_flatten": f"""{_FLAT_WITH}
 SELECT * REPLACE (CAST(user_id AS VARCHAR) AS user_id) FROM flat""",
     "post_author_join": f"""{_FLAT_WITH}
-SELECT tweet_id, CAST(user_id AS VARCHAR) AS user_id, username, user_name, replace(user_description, 'about ',
+SELECT tweet_id, CAST(user_id AS VARCHAR) AS user_id, username, user_name,
+       replace(user_description, 'about ',
        'about' || chr(10)) AS user_description, user_location, user_verified, user_followers,
        user_following, user_tweet_count FROM flat""",
     "post_flags": f"""{_FLAT_WITH} SELECT tweet_id, is_retweet, is_reply, has_media FROM flat""",

@@ -186,7 +186,8 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users from the customers; every tenth one is seen twice, the second time
     with another name."""
     key = F.col("c_custkey")
-    seen = F.explode(F.when(key % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    once, twice = F.array(F.lit(1)), F.array(F.lit(1), F.lit(2))
+    seen = F.explode(F.when(key % 10 == 0, twice).otherwise(once))
     rows = table(spark, sf_dir, "customer").withColumn("seen", seen)
     name = F.when(F.col("seen") == 1, F.col("c_name")).otherwise(F.concat("c_name", F.lit(" II")))
     return rows.select(

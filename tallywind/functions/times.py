@@ -23,6 +23,14 @@ def instant(moment: datetime) -> Column:
     return F.lit(moment.isoformat()).cast("timestamp")
 
 
+def utc_date(time: Column | str) -> Column:
+    """The date of an instant in UTC. Folders are named by it, so it must not
+    depend on the zone of the session that reads or writes them."""
+    column = F.col(time) if isinstance(time, str) else time
+    days = F.floor(F.unix_seconds(column) / 86_400)
+    return F.date_from_unix_date(days.cast("int"))
+
+
 def zoneless_times(df: DataFrame) -> DataFrame:
     """Timestamps as local date-times, for readers that know no time zones."""
     return df.select(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywind.functions.scores import net_score
-from tallywind.functions.times import instant
+from tallywind.functions.times import instant, utc_date
 
 # The ranges a reader may choose, in minutes.
 RANGE_MINUTES = (15, 30, 45, 60, 120, 240, 480, 720, 1440, 2880, 10080)
@@ -47,7 +47,7 @@ def in_range(
     cutoff = instant(range_start(as_of, minutes_back))
     kept = results.filter(F.col("window_start") >= cutoff)
     if "window_date" in results.columns:
-        kept = kept.filter(F.col("window_date") >= F.to_date(cutoff))
+        kept = kept.filter(F.col("window_date") >= utc_date(cutoff))
     if topic is not ALL_TOPICS:
         kept = kept.filter(F.col("topic") == topic)
     return kept
@@ -98,13 +98,9 @@ def trend(results: DataFrame, width: str) -> DataFrame:
     zeros. The spine comes from the bins, not from the rows, so the join is
     between two frames of at most one row per bin.
     """
-    bins = (
-        results.groupBy(F.window("window_start", width).alias("span"))
-        .agg(
-            F.avg("sentiment_score").alias("mean_score"),
-            F.sum("total_mentions").alias("total_mentions"),
-        )
-        .select(F.col("span.start").alias("bin_start"), "mean_score", "total_mentions")
+    bins = results.groupBy(F.window("window_start", width)["start"].alias("bin_start")).agg(
+        F.avg("sentiment_score").alias("mean_score"),
+        F.sum("total_mentions").alias("total_mentions"),
     )
     step = F.expr(f"INTERVAL {width}")
     spine = bins.agg(F.min("bin_start").alias("first"), F.max("bin_start").alias("last"))

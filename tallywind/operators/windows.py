@@ -40,7 +40,16 @@ def windowed_sentiment(
     def posts_labelled(label: str):
         return F.sum(F.when(F.col("sentiment_label") == label, 1).otherwise(0))
 
-    counts = posts.groupBy(F.window("event_time_ts", width).alias("span"), "topic").agg(
+    span = F.window("event_time_ts", width)
+    if scored.isStreaming:
+        # The watermark belongs to the window as a whole, and evicts by its end.
+        keyed = posts.groupBy(span.alias("span"), "topic")
+        start, end = F.col("span.start"), F.col("span.end")
+    else:
+        # A plain time is a cheaper key to hash than a pair of them.
+        keyed = posts.groupBy(span["start"].alias("start"), "topic")
+        start, end = F.col("start"), F.col("start") + F.expr(f"INTERVAL {width}")
+    counts = keyed.agg(
         posts_labelled("Positive").alias("positive"),
         posts_labelled("Neutral").alias("neutral"),
         posts_labelled("Negative").alias("negative"),
@@ -49,8 +58,8 @@ def windowed_sentiment(
         "total_mentions", F.col("positive") + F.col("neutral") + F.col("negative")
     ).withColumns(
         {
-            "window_start": F.col("span.start"),
-            "window_end": F.col("span.end"),
+            "window_start": start,
+            "window_end": end,
             "sentiment_score": net_score(
                 F.col("positive"), F.col("negative"), F.col("total_mentions")
             ),

@@ -9,7 +9,6 @@ from __future__ import annotations
 import argparse
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -65,13 +64,6 @@ class SentimentModel:
             PipelineModel.load(f"{path}/pipeline"), StringIndexerModel.load(f"{path}/labels")
         )
 
-    @classmethod
-    def load_if_kept(cls, path: str) -> SentimentModel | None:
-        try:
-            return cls.load(path)
-        except AnalysisException:
-            return None
-
 
 def label_indexer(df: DataFrame, label: str = "Label") -> StringIndexerModel:
     """Labels by falling frequency, equal ones by name; an unseen label is an error."""

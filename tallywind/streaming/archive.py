@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallywind.functions.times import utc_date
 from tallywind.schemas import ARCHIVE, SCORED_POST
 
 
@@ -17,7 +17,7 @@ def start_archive(
     available_now: bool = False,
 ) -> StreamingQuery:
     """Append scored posts as Parquet, one folder per event date."""
-    dated = scored.select(*SCORED_POST.names, F.to_date("event_time_ts").alias("event_date"))
+    dated = scored.select(*SCORED_POST.names, utc_date("event_time_ts").alias("event_date"))
     writer = dated.writeStream.outputMode("append").format("parquet").partitionBy("event_date")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     if available_now:

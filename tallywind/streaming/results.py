@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tallywind.functions.times import utc_date
 from tallywind.schemas import WINDOWED_RESULT
 
 _KEY = ("window_start", "window_end", "topic")
@@ -60,7 +61,7 @@ def write_changes(
     """Write the changed rows of one batch, at most `files_per_date` files a date."""
     typed = changes.select(
         *(F.col(f.name).cast(f.dataType).alias(f.name) for f in WINDOWED_RESULT.fields),
-        F.to_date("window_start").alias("window_date"),
+        utc_date("window_start").alias("window_date"),
     )
     # The rows are totals already, few per date; gathering them by date keeps
     # small files down, and the bucket keeps a date from being one task.

@@ -12,7 +12,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tallywind-tests",
         master="local[4]",
-        shuffle_partitions=4,
+        shuffle_partitions=2,
         extra={
             "spark.ui.enabled": "false",
             "spark.driver.host": "127.0.0.1",

@@ -90,13 +90,13 @@ def test_scrub(posts, users):
 
 def test_one_author_with_most_posts(spark, users):
     """Every post of a hot author, and of none, meets the same row as a plain join."""
-    many = spark.range(5000).select(
-        "id",
-        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, 7).cast("long").alias("author_id"),
-    )
+    third = F.col("id") % 3
+    author = F.when(third == 0, 1).when(third == 1, 7).cast("long")
+    many = spark.range(5000).select("id", author.alias("author_id"))
     got = ops.join_authors(many, users, "seen_at")
     counts = got.groupBy("author_id", "user.name").count()
-    assert rows(counts) == sorted([(1, "Ann New", 1667), (7, None, 1667), (None, None, 1666)], key=repr)
+    wanted = [(1, "Ann New", 1667), (7, None, 1667), (None, None, 1666)]
+    assert rows(counts) == sorted(wanted, key=repr)
 
 
 def test_hot_author_is_split_over_tasks(spark, users):

@@ -115,7 +115,8 @@ def test_sorted_panels_keep_top_rows_per_task(results):
 
 
 def test_null_profile(spark):
-    df = spark.createDataFrame([("a", None), ("", "x"), (None, ""), (None, "")], "p string, q string")
+    data = [("a", None), ("", "x"), (None, ""), (None, "")]
+    df = spark.createDataFrame(data, "p string, q string")
     assert rows(null_profile(df, ["p", "q"])) == [("p", 4, 2, 1), ("q", 4, 1, 2)]
     assert rows(drop_null_rows(df, ["p"])) == [("", "x"), ("a", None)]
     assert [r.q for r in preview(df, 2, ["q"]).collect()] == [None, ""]

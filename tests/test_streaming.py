@@ -142,6 +142,21 @@ def test_latest_rows_come_from_hash_aggregates_of_pruned_folders(spark):
     assert "GreaterThanOrEqual(window_start" in text
 
 
+def test_stored_dates_do_not_depend_on_the_session_zone(spark):
+    log = new_folder(spark, "zone")
+    batch = windowed_sentiment(posts(spark, (0, "a", 0), (-700, "a", 0)), "5 minutes")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Ho_Chi_Minh")
+        results.write_changes(batch, log, 0, 0, 1)
+        moved = results.read_changes(spark, log).select("window_date").distinct().collect()
+        found = current_range(spark, [log], T0 + timedelta(minutes=10), 720, None).count()
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert current_range(spark, [log], T0 + timedelta(minutes=10), 720, None).count() == found
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == 2 and [r[0] for r in moved] == [T0.date()]
+
+
 def test_archive_keeps_rows_without_a_time(spark):
     root = new_folder(spark, "archive")
     rows_ = posts(spark, (0, "a", 0), (3000, None, 4))
