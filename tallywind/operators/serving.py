@@ -70,25 +70,26 @@ def kpi_summary(results: DataFrame) -> DataFrame:
 
 
 def kpi_all_ranges(results: DataFrame, as_of: datetime) -> DataFrame:
-    """The totals of every range, one row each, from one pass: a window adds to
-    all ranges that reach back to it, without being copied per range."""
+    """The totals of every range, one row each, from one pass.
+
+    A window counts in the shortest range that reaches back to it; only the totals
+    of these at most eleven bands are then added to the longer ranges. Ranges
+    without windows have zeros.
+    """
     widest = in_range(results, as_of, max(RANGE_MINUTES))
-    sums = []
-    for minutes in RANGE_MINUTES:
-        inside = F.col("window_start") >= instant(range_start(as_of, minutes))
-        for name in _COUNTS:
-            total = F.sum(F.when(inside, F.col(name)).otherwise(F.lit(0)))
-            sums.append(F.coalesce(total, F.lit(0)).cast("long").alias(f"{name}_{minutes}"))
-    lines = F.array(
-        *(
-            F.struct(
-                F.lit(minutes).cast("long").alias("minutes_back"),
-                *(F.col(f"{name}_{minutes}").alias(name) for name in _COUNTS),
-            )
-            for minutes in RANGE_MINUTES
-        )
-    )
-    return _with_net_score(widest.agg(*sums).select(F.inline(lines)))
+    start = F.col("window_start")
+    band = F.lit(None).cast("long")
+    for minutes in sorted(RANGE_MINUTES, reverse=True):
+        reached = start >= instant(range_start(as_of, minutes))
+        band = F.when(reached, F.lit(minutes).cast("long")).otherwise(band)
+    bands = widest.groupBy(band.alias("band")).agg(*(F.sum(n).alias(n) for n in _COUNTS))
+    every = F.array(*(F.lit(m).cast("long") for m in RANGE_MINUTES))
+    longer = F.filter(every, lambda minutes: minutes >= F.col("band"))
+    added = bands.select(F.explode(longer).alias("minutes_back"), *_COUNTS)
+    zeros = (F.lit(0).cast("long").alias(name) for name in _COUNTS)
+    empty = results.sparkSession.range(1).select(F.explode(every).alias("minutes_back"), *zeros)
+    sums = (F.sum(name).alias(name) for name in _COUNTS)
+    return _with_net_score(added.unionByName(empty).groupBy("minutes_back").agg(*sums))
 
 
 def trend(results: DataFrame, width: str) -> DataFrame:
