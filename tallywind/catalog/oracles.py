@@ -89,6 +89,7 @@ SELECT bin_start, round(coalesce(mean_score, 0), 6) AS mean_score,
 FROM spine LEFT JOIN bins USING (bin_start)"""
 
 
+# Fixed values in the two functions below: the patterns of the cleaning contract.
 def _clean(column: str) -> str:
     url = rf"https?://[^{_SP}]+|www\.[^{_SP}]+|\.com[^{_SP}]+|youtu\.be/[^{_SP}]+"
     step = f"regexp_replace({column}, '{url}', '', 'g')"
@@ -202,7 +203,8 @@ FROM flat"""
 _PREDICTIONS = """
 predictions AS (
   SELECT doc_id AS id, lang AS label,
-         CASE WHEN doc_id % 7 = 0 THEN 'en' WHEN doc_id % 11 = 0 THEN 'es' ELSE lang END
+         CASE WHEN doc_id % 7 = 0 THEN 'en' WHEN doc_id % 11 = 0 THEN 'es'
+              WHEN doc_id % 13 = 5 THEN 'unheard' WHEN doc_id % 17 <> 3 THEN lang END
            AS predicted,
          CAST(doc_id % 5 AS DOUBLE) AS prediction
   FROM documents)"""
@@ -258,6 +260,14 @@ WHERE topic IS NOT NULL GROUP BY topic ORDER BY total_mentions DESC, topic LIMIT
 SELECT window_start, window_end, topic, total_mentions, positive, neutral, negative,
        round(sentiment_score, 6) AS sentiment_score FROM ranged
 ORDER BY window_start DESC, topic NULLS LAST LIMIT 20""",
+    "empty_range": f"""{_over_range(10080, "no such topic")},
+mentioned AS (SELECT coalesce(sum(total_mentions), 0)::BIGINT AS total_mentions FROM ranged)
+SELECT 'kpi' AS panel, 1::BIGINT AS row_count, total_mentions FROM mentioned
+UNION ALL SELECT 'trend', (SELECT count(*) FROM ranged), total_mentions FROM mentioned
+UNION ALL SELECT 'share', 3, total_mentions FROM mentioned
+UNION ALL SELECT 'top_topics', (SELECT count(DISTINCT topic) FROM ranged), total_mentions
+  FROM mentioned
+UNION ALL SELECT 'recent', (SELECT count(*) FROM ranged), total_mentions FROM mentioned""",
     "topic_list": f"""
 WITH {_SCORED} SELECT DISTINCT topic FROM scored WHERE topic IS NOT NULL""",
     "clean_text": f"WITH {_MESSAGES} SELECT id, {_clean('text')} AS text FROM messages",
@@ -320,6 +330,9 @@ ORDER BY created_at DESC, doc_id DESC LIMIT 100""",
     "collect_newest": f"""{_COLLECTED_WITH}
 SELECT tweet_id, created_at, keyword FROM collected
 QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY created_at DESC, tweet_id DESC) <= 50""",
+    "collect_newest_2000": f"""{_COLLECTED_WITH}
+SELECT tweet_id, created_at, keyword FROM collected
+QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY created_at DESC, tweet_id DESC) <= 2000""",
     "keyword_slug": f"""
 WITH {_MESSAGES}
 SELECT id, {_SLUG.format("('#' || topic || ' OR ' || label || ' AND ' || text)")} AS slug
@@ -331,6 +344,14 @@ SELECT keyword, count(*) AS post_count FROM collected GROUP BY keyword""",
     "top_users": f"""{_FLAT_WITH}
 SELECT username, count(*) AS post_count FROM flat GROUP BY username
 ORDER BY post_count DESC, username LIMIT 10""",
+    "report_lists": f"""{_COLLECTED_WITH},
+named AS (
+  SELECT username, count(*) AS post_count FROM collected GROUP BY username
+  ORDER BY post_count DESC, username LIMIT 10)
+SELECT 'languages' AS list, language AS name, count(*) AS post_count
+FROM collected GROUP BY language
+UNION ALL SELECT 'top_users', username, post_count FROM named
+UNION ALL SELECT 'top_keywords', keyword, count(*) FROM collected GROUP BY keyword""",
     "post_report": _REPORT,
     "report_json": _REPORT,
     "keyword_csv": f"""{_COLLECTED_WITH}
@@ -346,7 +367,8 @@ SELECT count(*) AS row_count,
     "confusion_matrix": f"""
 WITH {_PREDICTIONS}
 SELECT label, count(*) FILTER (predicted = 'en') AS en, count(*) FILTER (predicted = 'fr') AS fr,
-       count(*) FILTER (predicted = 'de') AS de, count(*) FILTER (predicted = 'es') AS es
+       count(*) FILTER (predicted = 'de') AS de, count(*) FILTER (predicted = 'es') AS es,
+       count(*) FILTER (predicted IS NULL OR predicted NOT IN ('en', 'fr', 'de', 'es')) AS other
 FROM predictions GROUP BY label""",
     "label_index": f"""
 WITH {_MESSAGES}
@@ -356,9 +378,24 @@ FROM messages WHERE text IS NOT NULL GROUP BY label""",
     "model_roundtrip": f"""
 WITH {_MESSAGES}
 SELECT count(text) AS row_count, count(text) AS same_prediction FROM messages""",
+    "predict": f"""
+WITH {_MESSAGES} SELECT id, label, true AS known_label FROM messages WHERE text IS NOT NULL""",
+    "evaluate_model": f"""
+WITH {_MESSAGES}
+SELECT count(*) AS row_count, true AS above_bound FROM messages
+WHERE text IS NOT NULL AND doc_id % 5 = 0""",
     "stream_upsert_5min": _WINDOWS_5,
     "stream_upsert_1hour": _WINDOWS_60,
-    "stream_restart": _WINDOWS_5,
+    "stream_restart": _WINDOWS_60,
+    "stream_updates": f"""{_with(_SCORED, _windowed(1440))},
+arrived AS (
+  SELECT time_bucket(INTERVAL 1440 MINUTE, event_time_ts) AS day_start, topic AS of_topic,
+         count(DISTINCT event_id % 3) AS versions
+  FROM scored GROUP BY ALL)
+SELECT window_start, window_end, topic, total_mentions, positive, neutral, negative,
+       round(sentiment_score, 6) AS sentiment_score, versions
+FROM windowed JOIN arrived ON window_start = day_start AND topic IS NOT DISTINCT FROM of_topic""",
+    "stream_compacted": _with(_SCORED, _windowed(1440)) + _WINDOWED_OUT,
     "stream_late_drop": _with(_SCORED, _ON_TIME, _windowed(60, "on_time")) + _WINDOWED_OUT,
     "stream_archive": f"""
 WITH {_SCORED} SELECT id, topic, text, event_time_ts, sentiment_label FROM scored""",
@@ -374,4 +411,8 @@ UNION ALL SELECT '1 hour', count(*) FROM (
 WITH parsed AS ({_PARSED})
 SELECT id, topic, {_clean('text')} AS text,
        TRY_CAST(event_time AS TIMESTAMP) AS event_time_ts FROM parsed""",
+    "stream_score": f"""
+WITH parsed AS ({_PARSED})
+SELECT id, topic, {_clean('text')} AS text,
+       TRY_CAST(event_time AS TIMESTAMP) AS event_time_ts, true AS agrees FROM parsed""",
 }

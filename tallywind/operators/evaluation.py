@@ -15,9 +15,13 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def confusion_matrix(
-    df: DataFrame, label: str, prediction: str, classes: Sequence[str]
+    df: DataFrame, label: str, prediction: str, classes: Sequence[str], other: str = "other"
 ) -> DataFrame:
     """One row per true class, one column per predicted class, counts in the
-    cells. The classes are given, so the pivot needs no pass of its own."""
-    cells = df.groupBy(label).pivot(prediction, list(classes)).agg(F.count(F.lit(1)))
-    return cells.na.fill(0, list(classes))
+    cells. The classes are given, so this is one aggregate; predictions that are none
+    of them, and null ones, count in the column `other`, so that a row adds up to all
+    rows of its class."""
+    made = F.col(prediction)
+    cells = [F.count_if(made == name).alias(name) for name in classes]
+    rest = F.count_if(~F.coalesce(made.isin(list(classes)), F.lit(False)))
+    return df.groupBy(label).agg(*cells, rest.alias(other))

@@ -13,12 +13,18 @@ from tallywind.functions.times import instant
 DEFAULT_SEARCH_SPAN = timedelta(days=7)
 
 
-def latest_users(users: DataFrame, order_column: str) -> DataFrame:
-    """One row per user id: the one with the highest `order_column` (among equals
-    the highest by its values, so that every run keeps the same row)."""
-    value = F.struct(*(F.col(name) for name in users.columns if name != order_column))
-    ranked = F.struct(F.col(order_column).alias("rank"), value.alias("user"))
-    return users.groupBy("id").agg(F.max(ranked).alias("last")).select("last.user.*")
+def latest_users(
+    users: DataFrame, order_column: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per user id: the one with the highest `order_column`, among equals the
+    one whose values hash highest, so that every run keeps the same row. The rank is
+    two fixed-width values; of the rest only `columns` (all by default) travel."""
+    kept = [n for n in users.columns if n not in ("id", order_column)]
+    wanted = [n for n in (kept if columns is None else columns) if n != "id"]
+    tie = F.xxhash64(*(F.to_json(F.struct(n)) for n in sorted(kept)))
+    rank = F.struct(F.col(order_column), tie)
+    last = F.max_by(F.struct(*wanted), rank).alias("last")
+    return users.groupBy("id").agg(last).select("id", "last.*")
 
 
 def join_authors(
@@ -29,10 +35,10 @@ def join_authors(
     The larger side is the posts, and one author may have written a large share
     of them. Users are therefore repeated once per salt and a post meets only
     the copy of its own salt, which cuts every author's posts into `salts`
-    parts; both inputs of the join are plain shuffles, so that AQE can split
-    what is still too big or broadcast users that turn out to be small. Posts
-    without an author never match and take salts without bound, which spreads
-    them over all tasks.
+    parts; what is still too big is left to AQE. Spark may broadcast the users where
+    its own estimate of their size allows it, and that estimate does not count the
+    copies: take 1 salt where the users are small. Posts without an author never
+    match and take salts without bound, which spreads them over all tasks.
     """
     user = F.struct(*(F.col(n) for n in users.columns if n != order_column)).alias("user")
     keyed_users = latest_users(users, order_column).select(
@@ -72,7 +78,11 @@ def has_media() -> Column:
 
 
 def flatten_posts(
-    posts: DataFrame, users: DataFrame, order_column: str, carry: Sequence[str] = ()
+    posts: DataFrame,
+    users: DataFrame,
+    order_column: str,
+    carry: Sequence[str] = (),
+    salts: int = 8,
 ) -> DataFrame:
     """The flat 25-column table: metrics default to 0, texts to '', flags to false.
     Columns to `carry` follow unchanged."""
@@ -83,7 +93,7 @@ def flatten_posts(
     def text(path: str) -> Column:
         return F.coalesce(F.col(path), F.lit(""))
 
-    return join_authors(posts, users, order_column).select(
+    return join_authors(posts, users, order_column, salts).select(
         F.col("id").alias("tweet_id"),
         text("text").alias("text"),
         F.col("created_at"),
@@ -129,8 +139,8 @@ def _searched(posts: DataFrame, since: datetime, until: datetime | None) -> Data
     return found if until is None else found.filter(F.col("created_at") < instant(until))
 
 
-def _mentions(keyword: Column) -> Column:
-    return F.contains(F.lower("text"), F.lower(keyword))
+def _mentions(keyword: str) -> Column:
+    return F.contains(F.lower("text"), F.lit(keyword.lower()))
 
 
 def search_posts(
@@ -145,7 +155,7 @@ def search_posts(
     """Posts that contain the keyword, by default of the seven days before
     `as_of`; `newest` keeps the latest ones."""
     found = _searched(posts, since or as_of - DEFAULT_SEARCH_SPAN, until)
-    found = found.filter(_mentions(F.lit(keyword)))
+    found = found.filter(_mentions(keyword))
     if newest is None:
         return found
     return found.orderBy(F.desc("created_at"), F.desc("id")).limit(newest)
@@ -159,18 +169,28 @@ def collect_by_keywords(
     since: datetime | None = None,
     until: datetime | None = None,
     newest: int | None = None,
+    salts: int = 64,
 ) -> DataFrame:
     """One search per keyword, all results together with their `keyword`. A post
     that matches two keywords appears twice.
 
     All keywords are tried in one scan. `newest` keeps the latest posts of each
-    keyword: tasks cut their own rows down to that number before the shuffle.
+    keyword, in two steps whatever the number: a keyword's posts are ranked in
+    `salts` parts, and only the newest of each part are ranked again together.
     """
     found = _searched(posts, since or as_of - DEFAULT_SEARCH_SPAN, until)
-    wanted = F.array(*(F.lit(k) for k in keywords)).cast("array<string>")
-    found = found.withColumn("keyword", F.explode(F.filter(wanted, _mentions)))
+    tried = [F.when(_mentions(k), F.lit(k)) for k in keywords]
+    matched = F.array_compact(F.array(*tried).cast("array<string>"))
+    found = found.withColumn("keyword", F.explode(matched))
     if newest is None:
         return found
-    latest = Window.partitionBy("keyword").orderBy(F.desc("created_at"), F.desc("id"))
-    ranked = found.withColumn("place", F.row_number().over(latest))
-    return ranked.filter(F.col("place") <= newest).drop("place")
+    order = (F.desc("created_at"), F.desc("id"))
+    salted = found.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
+    for keys in (("keyword", "salt"), ("keyword",)):
+        latest = Window.partitionBy(*keys).orderBy(*order)
+        salted = (
+            salted.withColumn("place", F.row_number().over(latest))
+            .filter(F.col("place") <= newest)
+            .drop("place")
+        )
+    return salted.drop("salt")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywind.functions.times import instant
+from tallywind.operators.posts import latest_users
 
 _CLOCK = "yyyy-MM-dd HH:mm:ss"
 
@@ -27,6 +28,25 @@ def top_users(flat: DataFrame, n: int = 10) -> DataFrame:
     return value_counts(flat, "username").limit(n)
 
 
+def top_authors(posts: DataFrame, users: DataFrame, order_column: str, n: int = 10) -> DataFrame:
+    """The same from nested posts: counted per author before anything is joined, so
+    an author costs a row per task, and summed per name (unknown ones are '')."""
+    per_author = posts.groupBy("author_id").agg(F.count("*").alias("own"))
+    names = latest_users(users, order_column, ["username"]).select(
+        F.col("id").alias("author_key"), "username"
+    )
+    joined = per_author.join(names, F.col("author_id") == F.col("author_key"), "left")
+    name = F.coalesce("username", F.lit("")).alias("username")
+    counts = joined.groupBy(name).agg(F.sum("own").alias("post_count"))
+    return counts.orderBy(F.desc("post_count"), "username").limit(n)
+
+
+def language_counts(posts: DataFrame) -> DataFrame:
+    """Posts per language, straight from nested posts; a missing one is ''."""
+    language = F.coalesce("lang", F.lit("")).alias("language")
+    return value_counts(posts.select(language), "language")
+
+
 def collection_report(flat: DataFrame, as_of: datetime) -> DataFrame:
     """One row for the whole table. `verified_posts` counts posts, not users."""
     share = 100 * F.avg(F.col("is_retweet").cast("int"))

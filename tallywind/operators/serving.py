@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywind.functions.scores import net_score
@@ -96,17 +96,25 @@ def trend(results: DataFrame, width: str) -> DataFrame:
     """Mean score (unweighted over windows and topics) and mentions per bin.
 
     Bins between the first and the last one that hold no window appear with
-    zeros. The spine comes from the bins, not from the rows, so the join is
-    between two frames of at most one row per bin.
+    zeros: each bin also stands for the empty ones up to the next, so the results are
+    read once and nothing is joined. The window runs over one row per bin.
     """
     bins = results.groupBy(F.window("window_start", width)["start"].alias("bin_start")).agg(
         F.avg("sentiment_score").alias("mean_score"),
         F.sum("total_mentions").alias("total_mentions"),
     )
     step = F.expr(f"INTERVAL {width}")
-    spine = bins.agg(F.min("bin_start").alias("first"), F.max("bin_start").alias("last"))
-    spine = spine.select(F.explode(F.sequence("first", "last", step)).alias("bin_start"))
-    return spine.join(bins, "bin_start", "left").na.fill(0, ["mean_score", "total_mentions"])
+    own = F.col("bin_start")
+    following = F.lead("bin_start").over(Window.orderBy("bin_start"))
+    spans = bins.withColumn("until", F.coalesce(following - step, own))
+    filled = spans.select("*", F.explode(F.sequence(own, F.col("until"), step)).alias("bin"))
+    return filled.select(
+        F.col("bin").alias("bin_start"),
+        F.when(F.col("bin") == own, F.col("mean_score")).otherwise(0.0).alias("mean_score"),
+        F.when(F.col("bin") == own, F.col("total_mentions"))
+        .otherwise(F.lit(0).cast("long"))
+        .alias("total_mentions"),
+    )
 
 
 def sentiment_share(results: DataFrame) -> DataFrame:

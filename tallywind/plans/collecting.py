@@ -30,13 +30,16 @@ def collect(
     since: datetime | None = None,
     until: datetime | None = None,
     newest: int | None = None,
+    salts: int = 8,
 ) -> DataFrame:
     """Flat posts of all keywords, with their keyword. The search comes first, so
     that only posts it found meet their authors."""
     found = collect_by_keywords(
         posts, keywords, as_of=as_of, since=since, until=until, newest=newest
     )
-    return scrub_lines(flatten_posts(found, users, user_order, carry=("keyword",)))
+    return scrub_lines(
+        flatten_posts(found, users, user_order, carry=("keyword",), salts=salts)
+    )
 
 
 def write_report(flat: DataFrame, path: str, as_of: datetime) -> None:

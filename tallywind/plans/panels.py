@@ -12,17 +12,20 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywind.operators import serving
-from tallywind.session import build_session
+from tallywind.session import build_session, new_folder
 from tallywind.streaming.results import latest_results, read_changes
 
 
 def current_range(
     spark: SparkSession, paths: list[str], as_of: datetime, minutes_back: int, topic: str | None
 ) -> DataFrame:
-    """The newest rows of the range. The range is applied to the change log, so
-    only its dates are listed and read."""
-    changes = serving.in_range(read_changes(spark, *paths), as_of, minutes_back, topic)
-    return latest_results(changes)
+    """The newest rows of the range. Only the date folders of the range are looked
+    into, and the range is applied to the change log before the newest rows are taken."""
+    since = serving.range_start(as_of, minutes_back)
+    if since.tzinfo is not None:
+        since = since.astimezone(timezone.utc)
+    changes = read_changes(spark, *paths, since=since.date())
+    return latest_results(serving.in_range(changes, as_of, minutes_back, topic))
 
 
 def panels(results: DataFrame, minutes_back: int) -> dict[str, DataFrame]:
@@ -45,7 +48,10 @@ def main() -> None:
     spark = build_session("tallywind-panels")
     as_of = datetime.now(timezone.utc)
     serving.topic_list(read_changes(spark, *args.results)).show(truncate=False)
-    results = current_range(spark, args.results, as_of, args.minutes_back, args.topic)
+    # Written once: the panels below read it some six times.
+    path = new_folder(spark, "panel-range")
+    current_range(spark, args.results, as_of, args.minutes_back, args.topic).write.parquet(path)
+    results = spark.read.parquet(path)
     if results.isEmpty():
         print("no data in the chosen range")
         return

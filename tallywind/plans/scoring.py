@@ -38,9 +38,9 @@ def _checkpoint(root: str, query: str) -> str:
 
 
 def start_windows(
-    scored: DataFrame, root: str, *, available_now: bool = False
+    scored: DataFrame, root: str, *, available_now: bool = False, trigger: str | None = None
 ) -> list[StreamingQuery]:
-    """One upsert query per window width."""
+    """One upsert query per window width; each compacts its log now and then."""
     started = []
     for width, watermark in WATERMARK_BY_WIDTH.items():
         name = f"results_{width.replace(' ', '_')}"
@@ -50,6 +50,7 @@ def start_windows(
                 results_path(root, width),
                 _checkpoint(root, name),
                 available_now=available_now,
+                trigger=trigger,
             )
         )
     return started
@@ -66,16 +67,26 @@ def start_direct(
 
 
 def start_from_archive(
-    scored: DataFrame, root: str, max_files_per_trigger: int | None = None
+    scored: DataFrame,
+    root: str,
+    max_files_per_trigger: int | None = None,
+    trigger: str | None = None,
+    tasks_per_date: int | None = None,
 ) -> list[StreamingQuery]:
     """Score once into the archive, and aggregate the archive as it grows. A bound
     on the files of a batch keeps the windows' catch-up to a size that fits."""
     path = archive_path(root)
-    archive = start_archive(scored, path, _checkpoint(root, "archive"))
+    archive = start_archive(
+        scored,
+        path,
+        _checkpoint(root, "archive"),
+        trigger=trigger,
+        tasks_per_date=tasks_per_date,
+    )
     posts = archive_stream(
         scored.sparkSession, path, max_files_per_trigger=max_files_per_trigger
     )
-    return [archive, *start_windows(posts, root)]
+    return [archive, *start_windows(posts, root, trigger=trigger)]
 
 
 def run_from_archive(scored: DataFrame, root: str) -> None:
@@ -95,11 +106,13 @@ def run(
     model_path: str,
     root: str,
     max_files_per_trigger: int | None = None,
+    trigger: str | None = None,
+    tasks_per_date: int | None = None,
 ) -> None:
     """Run until one of the queries ends."""
     model = SentimentModel.load(model_path)
     scored = score_messages(kafka_stream(spark, options), model)
-    start_from_archive(scored, root, max_files_per_trigger)
+    start_from_archive(scored, root, max_files_per_trigger, trigger, tasks_per_date)
     spark.streams.awaitAnyTermination()
 
 
@@ -110,6 +123,8 @@ def main() -> None:
     parser.add_argument("--starting", default="latest")
     parser.add_argument("--max-offsets-per-trigger", type=int)
     parser.add_argument("--max-files-per-trigger", type=int)
+    parser.add_argument("--trigger", help="time between batches, e.g. '1 minute'")
+    parser.add_argument("--tasks-per-date", type=int, help="files of a date and batch")
     parser.add_argument("--model", required=True)
     parser.add_argument("--output", required=True)
     parser.add_argument("--shuffle-partitions", type=int)
@@ -133,7 +148,15 @@ def main() -> None:
         starting=args.starting,
         max_offsets_per_trigger=args.max_offsets_per_trigger,
     )
-    run(spark, options, args.model, args.output, args.max_files_per_trigger)
+    run(
+        spark,
+        options,
+        args.model,
+        args.output,
+        args.max_files_per_trigger,
+        args.trigger,
+        args.tasks_per_date,
+    )
 
 
 if __name__ == "__main__":

@@ -28,10 +28,11 @@ from tallywind.functions.stopwords import ENGLISH
 from tallywind.functions.text import clean_text
 from tallywind.operators.evaluation import confusion_matrix
 from tallywind.operators.profile import drop_null_rows, null_profile
-from tallywind.session import build_session, new_folder
+from tallywind.session import build_session, new_folder, remove_folder
 from tallywind.sources.files import read_labelled_csv
 
-# Hyper-parameters of the classifier.
+# Hyper-parameters of the classifier, the name of the label index, and
+# the stage columns below, which belong to the processed table.
 VOCABULARY_SIZE = 10_000
 MIN_DOCUMENTS = 5
 MAX_ITERATIONS = 10
@@ -113,10 +114,10 @@ def fit(labelled: DataFrame, tokens_path: str | None = None) -> SentimentModel:
     """Fit on prepared rows (`prepare`).
 
     Labels, term counts and the classifier's statistics and blocks each need a
-    pass of their own. The tokens are therefore written once, by default to a new
-    folder of the shared root, and read by all passes: texts are cleaned and split
-    only once, and a lost executor costs a read. The classifier keeps its blocks
-    itself, in memory and on disk. The folder can be removed after the fit.
+    pass of their own. The tokens are therefore written once and read by all passes:
+    texts are cleaned and split only once, and a lost executor costs a read. The
+    classifier keeps its blocks itself, in memory and on disk. Without a given path
+    the tokens go to a new folder of the shared root, which is removed after the fit.
     """
     spark = labelled.sparkSession
     path = tokens_path or new_folder(spark, "tokens")
@@ -126,6 +127,8 @@ def fit(labelled: DataFrame, tokens_path: str | None = None) -> SentimentModel:
     written = spark.read.schema(rows.schema).parquet(path)
     labels = label_indexer(written)
     fitted = Pipeline(stages=fitted_stages()).fit(labels.transform(written))
+    if tokens_path is None:
+        remove_folder(spark, path)
     return SentimentModel(PipelineModel([*to_tokens.stages, *fitted.stages]), labels)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -75,7 +76,8 @@ def build_session(
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
-    """Event times carry no zone and are read as UTC, whatever the host says."""
+    """Event times carry no zone and are read as UTC, whatever the host says. This
+    changes the session it is given; jobs get a session of their own that is so set."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
@@ -90,7 +92,7 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="tallywind-")
@@ -100,3 +102,9 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path below the shared root that no other run uses. Nothing is created."""
     return f"{shared_root(spark)}/tallywind/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library made and no longer needs."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

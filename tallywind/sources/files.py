@@ -58,14 +58,22 @@ def _csv_writer(df: DataFrame):
     return df.write.mode("overwrite").option("header", True).options(**_QUOTING, **_WRITTEN)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+# Records of a written CSV file at most.
+RECORDS_PER_FILE = 500_000
+
+
+def write_csv(df: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
     """CSV with a header and no index."""
-    _csv_writer(df).csv(path)
+    _csv_writer(df).option("maxRecordsPerFile", records_per_file).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """What the CSV writers here wrote, with its nulls and its empty texts."""
-    reader = spark.read.schema(schema).option("header", True).option("multiLine", True)
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, *, multi_line: bool = True
+) -> DataFrame:
+    """What the CSV writers here wrote, with its nulls and its empty texts. A file with
+    line breaks in its fields is read by one task: bound the records of a file when
+    writing it, or pass `multi_line=False` where no field has any (`scrub_lines`)."""
+    reader = spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
     return reader.options(**_QUOTING, **_EMPTY_IS_TEXT).csv(path)
 
 
@@ -90,11 +98,3 @@ def read_archive(spark: SparkSession, path: str, *, date_range=None) -> DataFram
     if date_range is not None:
         posts = posts.filter(F.col("event_date").between(*(F.lit(d) for d in date_range)))
     return posts.select(*SCORED_POST.names)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores, where the files make too few tasks to use even half
-    of them. Cleaning a text costs far more than moving it once; a table with
-    more splits than that is left where it is, without a shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() <= cores // 2 else df

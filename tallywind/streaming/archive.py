@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallywind.functions.times import utc_date
@@ -15,13 +16,25 @@ def start_archive(
     checkpoint: str,
     *,
     available_now: bool = False,
+    trigger: str | None = None,
+    tasks_per_date: int | None = None,
 ) -> StreamingQuery:
-    """Append scored posts as Parquet, one folder per event date."""
+    """Append scored posts as Parquet, one folder per event date.
+
+    Every task of a batch writes a file per date it has rows of. `trigger`, the time
+    between batches, keeps the number of batches down, and `tasks_per_date` the number
+    of files: the rows of a date then go to so many tasks, by the hash of their id,
+    before they are written. Leave it out where batches are large.
+    """
     dated = scored.select(*SCORED_POST.names, utc_date("event_time_ts").alias("event_date"))
+    if tasks_per_date is not None:
+        dated = dated.repartition("event_date", F.pmod(F.xxhash64("id"), F.lit(tasks_per_date)))
     writer = dated.writeStream.outputMode("append").format("parquet").partitionBy("event_date")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
     return writer.start()
 
 

@@ -1,15 +1,26 @@
 """The upsert sink of windowed results.
 
 A plain Parquet folder cannot be updated in place, so each micro-batch adds its
-changed rows to a change log, and readers keep the newest row per key. The
-folder of a batch is named after its run and batch number and is overwritten
-when the batch is replayed, which makes the sink idempotent. A lost checkpoint
-makes batch numbers start over; it then gets a higher run number, so an old log
-is neither overwritten nor allowed to win.
+changed rows to a change log and readers keep the newest row per key. The log is
+laid out by date first:
+
+    log/window_date=2024-05-01/version=7/level=0    rows a batch changed
+    log/window_date=2024-05-01/version=9/level=1    all rows of the date as of 9
+
+A version is run and batch number in one long. A replayed batch overwrites its own
+folders, which makes the sink idempotent. A lost checkpoint makes batch numbers start
+over; it then gets a higher run number, so an old log is neither overwritten nor
+allowed to win. Compaction adds the folder of level 1, which covers all versions up
+to its own: readers open it and what came later, of the dates they ask for.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+from dataclasses import dataclass
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,56 +31,175 @@ from tallywind.functions.times import utc_date
 from tallywind.schemas import WINDOWED_RESULT
 
 _KEY = ("window_start", "window_end", "topic")
-_VERSION = ("run_id", "batch_id")
-_LOG = T.StructType(
-    WINDOWED_RESULT.fields
-    + [T.StructField(name, T.LongType()) for name in _VERSION]
-    + [T.StructField("window_date", T.DateType())]
+_LAYOUT = T.StructType(
+    [
+        T.StructField("window_date", T.DateType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("level", T.IntegerType()),
+    ]
 )
+_LOG = T.StructType(WINDOWED_RESULT.fields + _LAYOUT.fields)
 # Both parts of a version fit one long: 2**23 runs of 2**40 batches each.
 _BATCH_BITS = 40
+ROWS_PER_FILE = 250_000
 
 
-def _read_or_none(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def version_of(run_id: int, batch_id: int) -> int:
+    return (run_id << _BATCH_BITS) + batch_id
+
+
+@dataclass(frozen=True)
+class Part:
+    """One folder of the log."""
+
+    path: str
+    day: date
+    version: int
+    level: int
+
+
+_PART = re.compile(r"/window_date=(\d{4}-\d\d-\d\d)/version=(\d+)/level=([01])$")
+
+
+def parts_of(spark: SparkSession, log: str, since: date | None = None) -> list[Part]:
+    """The folders of a log, of the dates from `since` on. Dates are listed first,
+    and only those asked for are looked into."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(log)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    days = [s.getPath() for s in files.listStatus(root) if s.getPath().getName().startswith("window_date=")]
+    found = []
+    for day in days:
+        if since is not None and day.getName().removeprefix("window_date=") < since.isoformat():
+            continue
+        for status in files.globStatus(path(day, "version=*/level=*")):
+            name = status.getPath().toString()
+            if match := _PART.search(name):
+                found.append(
+                    Part(name, date.fromisoformat(match[1]), int(match[2]), int(match[3]))
+                )
+    return found
+
+
+def needed(parts: Iterable[Part]) -> list[Part]:
+    """The parts a reader must open: for each date the newest compacted one, and the
+    batches it does not cover."""
+    parts = list(parts)
+    covered: dict[date, int] = {}
+    for part in parts:
+        if part.level == 1:
+            covered[part.day] = max(part.version, covered.get(part.day, -1))
+    return [
+        p
+        for p in parts
+        if p.day not in covered
+        or p.version > covered[p.day]
+        or (p.level == 1 and p.version == covered[p.day])
+    ]
+
+
+def _read_parts(spark: SparkSession, log: str, parts: list[Part]) -> DataFrame:
+    if not parts:
+        return spark.createDataFrame([], _LOG)
+    reader = spark.read.schema(_LOG).option("basePath", log)
+    return reader.parquet(*sorted(p.path for p in parts))
 
 
 def run_number(spark: SparkSession, log: str, checkpoint: str) -> int:
     """The run number of a checkpoint: kept beside its own files, and above all
     numbers of the log where the checkpoint is new."""
     marker = f"{checkpoint}/run_number"
-    kept = _read_or_none(spark, T.StructType([T.StructField("run_id", T.LongType())]), marker)
-    row = None if kept is None else kept.first()
+    schema = T.StructType([T.StructField("run_id", T.LongType())])
+    try:
+        row = spark.read.schema(schema).parquet(marker).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        row = None
     if row is not None:
         return row["run_id"]
-    logged = _read_or_none(spark, _LOG, log)
-    newest = None if logged is None else logged.agg(F.max("run_id")).first()[0]
-    number = 0 if newest is None else newest + 1
+    versions = [part.version for part in parts_of(spark, log)]
+    number = (max(versions) >> _BATCH_BITS) + 1 if versions else 0
     row = spark.range(number, number + 1).toDF("run_id").coalesce(1)
     row.write.mode("overwrite").parquet(marker)
     return number
 
 
+def _write(rows: DataFrame, log: str, version: int, level: int, rows_per_file: int) -> None:
+    """Write rows of a version. How many tasks write a date follows from its rows: one
+    per `rows_per_file`, so a batch of one date is as many tasks as its size needs
+    and a small one is one file. The counts are a row per date of the batch."""
+    kept = rows.persist()
+    try:
+        counts = {
+            r["window_date"]: r["n"]
+            for r in kept.groupBy("window_date").agg(F.count("*").alias("n")).collect()
+        }
+        if not counts:
+            return
+        files, first, place = 0, F.lit(0), F.lit(0)
+        for day, count in sorted(counts.items(), key=str):
+            own = -(-count // rows_per_file)
+            here = F.col("window_date").eqNullSafe(F.lit(day).cast("date"))
+            first = F.when(here, files).otherwise(first)
+            place = F.when(here, F.pmod(F.xxhash64("window_start", "topic"), F.lit(own))).otherwise(place)
+            files += own
+        dealt = kept.withColumns({"version": F.lit(version), "level": F.lit(level)}).repartitionById(
+            files, (first + place).cast("int")
+        )
+        writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*_LAYOUT.names).parquet(log)
+    finally:
+        kept.unpersist()
+
+
 def write_changes(
-    changes: DataFrame, log: str, run_id: int, batch_id: int, files_per_date: int
+    changes: DataFrame,
+    log: str,
+    run_id: int,
+    batch_id: int,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
-    """Write the changed rows of one batch, at most `files_per_date` files a date."""
+    """Write the changed rows of one batch, about `rows_per_file` to a file."""
     typed = changes.select(
         *(F.col(f.name).cast(f.dataType).alias(f.name) for f in WINDOWED_RESULT.fields),
         utc_date("window_start").alias("window_date"),
     )
-    # The rows are totals already, few per date; gathering them by date keeps
-    # small files down, and the bucket keeps a date from being one task.
-    bucket = F.pmod(F.xxhash64("window_start", "topic"), F.lit(files_per_date))
-    spread = typed.repartition("window_date", bucket)
-    target = f"{log}/run_id={run_id}/batch_id={batch_id}"
-    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy("window_date").parquet(target)
+    _write(typed, log, version_of(run_id, batch_id), 0, rows_per_file)
+
+
+def compact(
+    spark: SparkSession, log: str, version: int | None = None, rows_per_file: int = ROWS_PER_FILE
+) -> int:
+    """Write the current rows of every date that has several uncovered parts as one
+    compacted part of the given version (by default the newest of the log), and
+    remove what the last compaction had covered before: readers that have listed
+    those folders have had since then to finish. Returns the number of dates written.
+
+    Call it while no batch is being written, as the sink does.
+    """
+    parts = parts_of(spark, log)
+    if not parts:
+        return 0
+    version = max(p.version for p in parts) if version is None else version
+    upto = [p for p in parts if p.version <= version]
+    open_parts = needed(upto)
+    by_day: dict[date, list[Part]] = {}
+    for part in open_parts:
+        by_day.setdefault(part.day, []).append(part)
+    merged = {day: own for day, own in by_day.items() if len(own) > 1}
+    stale = [p for p in upto if p not in open_parts]
+    if merged:
+        chosen = [p for own in merged.values() for p in own]
+        newest = latest_results(_read_parts(spark, log, chosen))
+        _write(newest.drop("version", "level"), log, version, 1, rows_per_file)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(log).getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in stale:
+        files.delete(path(part.path), True)
+    return len(merged)
 
 
 def start_upsert(
@@ -78,31 +208,36 @@ def start_upsert(
     checkpoint: str,
     *,
     available_now: bool = False,
-    files_per_date: int = 2,
+    trigger: str | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+    compact_every: int | None = 100,
 ) -> StreamingQuery:
-    """Keep `log` up to date with a windowed stream (update mode)."""
+    """Keep `log` up to date with a windowed stream (update mode). `trigger` is the
+    time between batches; after every `compact_every` batches the log is compacted."""
     run_id = run_number(windowed.sparkSession, log, checkpoint)
 
     def upsert(changes: DataFrame, batch_id: int) -> None:
-        write_changes(changes, log, run_id, batch_id, files_per_date)
+        write_changes(changes, log, run_id, batch_id, rows_per_file)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(changes.sparkSession, log, version_of(run_id, batch_id), rows_per_file)
 
     writer = windowed.writeStream.outputMode("update").foreachBatch(upsert)
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
     return writer.start()
 
 
-def read_changes(spark: SparkSession, *paths: str) -> DataFrame:
-    """All rows of change logs and of compacted tables, as if nothing was there
-    where a path does not exist yet."""
-    found = [df for df in (_read_or_none(spark, _LOG, path) for path in paths) if df is not None]
-    if not found:
-        return spark.createDataFrame([], _LOG)
-    rows = found[0]
-    for more in found[1:]:
-        rows = rows.unionByName(more)
-    return rows
+def read_changes(spark: SparkSession, *logs: str, since: date | None = None) -> DataFrame:
+    """The rows of change logs that count: compacted ones and later batches, of the
+    dates from `since` on; nothing where a log does not exist yet."""
+    rows = None
+    for log in logs:
+        own = _read_parts(spark, log, needed(parts_of(spark, log, since)))
+        rows = own if rows is None else rows.unionByName(own)
+    return spark.createDataFrame([], _LOG) if rows is None else rows
 
 
 def latest_results(changes: DataFrame) -> DataFrame:
@@ -110,31 +245,20 @@ def latest_results(changes: DataFrame) -> DataFrame:
 
     Values and version are fixed-width, so this is a hash aggregate whose first
     step runs before the shuffle. Filter `changes` by `window_date` and
-    `window_start` first: both belong to the key, so no version is lost.
+    `window_start` first: both belong to the key, so no version is lost. Rows of one
+    version and key are equal, whatever their level.
     """
-    version = F.shiftleft(F.col("run_id"), _BATCH_BITS) + F.col("batch_id")
     values = [n for n in WINDOWED_RESULT.names if n not in _KEY]
     newest = changes.groupBy("window_date", *_KEY).agg(
-        F.max("run_id").alias("newest_run"),
-        F.max(version).alias("version"),
-        *(F.max_by(name, version).alias(name) for name in values),
+        F.max("version").alias("newest"),
+        F.max("level").alias("level"),
+        *(F.max_by(name, "version").alias(name) for name in values),
     )
     return newest.select(
-        *WINDOWED_RESULT.names,
-        F.col("newest_run").alias("run_id"),
-        (F.col("version") - F.shiftleft(F.col("newest_run"), _BATCH_BITS)).alias("batch_id"),
-        "window_date",
+        *WINDOWED_RESULT.names, "window_date", F.col("newest").alias("version"), "level"
     )
 
 
-def read_results(spark: SparkSession, *paths: str) -> DataFrame:
-    """The current results, with `window_date` for pruning."""
-    return latest_results(read_changes(spark, *paths)).drop(*_VERSION)
-
-
-def compact(spark: SparkSession, paths: list[str], target: str) -> None:
-    """Write the current rows to a new folder. They keep their versions, so
-    readers may take `target` together with any part of the old log; batches it
-    covers can be removed whenever it suits."""
-    newest = latest_results(read_changes(spark, *paths))
-    newest.hint("rebalance", "window_date").write.partitionBy("window_date").parquet(target)
+def read_results(spark: SparkSession, *logs: str, since: date | None = None) -> DataFrame:
+    """The current results, with `window_date`."""
+    return latest_results(read_changes(spark, *logs, since=since)).drop("version", "level")

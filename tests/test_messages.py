@@ -114,10 +114,3 @@ def test_csv_types_may_be_inferred(spark, tmp_path):
         spark, str(tmp_path / "a.csv"), columns=["n", "t", "v"], schema=None
     )
     assert dict(df.dtypes) == {"n": "int", "t": "string", "v": "double"}
-
-
-def test_spread_only_coarse_tables(spark):
-    few = spark.range(10).coalesce(1)
-    many = spark.range(0, 10, 1, 4)
-    assert files.spread(few, "id").rdd.getNumPartitions() == 4
-    assert files.spread(many, "id") is many

@@ -131,9 +131,26 @@ def test_union_keeps_a_post_per_keyword(posts):
     assert ops.collect_by_keywords(posts, [], as_of=T0).count() == 0
 
 
-def test_newest_is_cut_before_the_shuffle(posts):
-    text = plan(ops.collect_by_keywords(posts, ["py"], as_of=T0, newest=1))
-    assert text.count("WindowGroupLimit") >= 2
+def test_newest_is_ranked_in_two_steps_whatever_the_number(spark, posts):
+    text = plan(ops.collect_by_keywords(posts, ["py"], as_of=T0, newest=5000))
+    keys = [line for line in text.splitlines() if "hashpartitioning(keyword" in line]
+    assert len(keys) == 2 and "salt" in keys[0] + keys[1]
+    many = spark.range(3000).selectExpr(
+        "id", "'py' text", f"timestamp'{T0}' - make_interval(0,0,0,0,0,0,id) created_at"
+    )
+    got = ops.collect_by_keywords(many, ["py"], as_of=T0, newest=2000, salts=7)
+    assert sorted(r.id for r in got.select("id").collect()) == list(range(2000))
+
+
+def test_counts_without_or_before_the_join(posts, users):
+    assert "Join" not in plan(report.language_counts(posts))
+    assert rows(report.language_counts(posts)) == [("en", 5)]
+    top = report.top_authors(posts, users, "seen_at")
+    assert [tuple(r) for r in top.collect()] == [("", 3), ("ann", 2)]
+    flat = ops.flatten_posts(posts, users, "seen_at")
+    assert [tuple(r) for r in report.top_users(flat).collect()] == [("", 3), ("ann", 2)]
+    text = plan(top)
+    assert text.index("HashAggregate") < text.index("Join")
 
 
 def test_report(posts, users):

@@ -80,6 +80,12 @@ def test_trend_fills_gaps_and_weighs_windows_alike(results):
     assert filled[NOW + timedelta(minutes=5)] == (1.0, 1)
 
 
+def test_trend_reads_its_input_once(spark, tmp_path, results):
+    results.write.parquet(str(tmp_path / "results"))
+    text = plan(serving.trend(spark.read.parquet(str(tmp_path / "results")), "1 hour"))
+    assert text.count("Scan parquet") == 2 and "Join" not in text  # in the tree and in the list
+
+
 def test_share(results):
     got = {r[0]: r[1:] for r in rows(serving.sentiment_share(serving.in_range(results, NOW, 15)))}
     assert got["Positive"] == (3, pytest.approx(100 / 3))
@@ -128,5 +134,8 @@ def test_accuracy_and_matrix(spark):
     )
     assert rows(accuracy(df, "label", "guess")) == [(4, 0.5)]
     got = confusion_matrix(df, "label", "guess", ["x", "y", "z"])
-    assert got.columns == ["label", "x", "y", "z"]
-    assert rows(got) == [("x", 1, 1, 0), ("y", 0, 1, 0)]
+    assert got.columns == ["label", "x", "y", "z", "other"]
+    assert rows(got) == [("x", 1, 1, 0, 0), ("y", 0, 1, 0, 1)]
+    strange = df.unionByName(spark.createDataFrame([("x", "q"), (None, "x")], df.schema))
+    cells = rows(confusion_matrix(strange, "label", "guess", ["x"]))
+    assert sum(sum(r[1:]) for r in cells) == strange.count()

@@ -81,9 +81,9 @@ def test_late_rows_are_dropped(spark):
 def test_replayed_batch_changes_nothing(spark):
     log = new_folder(spark, "replay")
     batch = windowed_sentiment(posts(spark, (0, "a", 0), (0, None, 2), (9, "b", 1)), "5 minutes")
-    results.write_changes(batch, log, 0, 0, 2)
+    results.write_changes(batch, log, 0, 0)
     before = rows(results.read_changes(spark, log))
-    results.write_changes(batch, log, 0, 0, 2)
+    results.write_changes(batch, log, 0, 0)
     assert rows(results.read_changes(spark, log)) == before
     assert len(stored(spark, log)) == 3
 
@@ -95,30 +95,88 @@ def test_a_lost_checkpoint_starts_a_higher_run(spark):
     assert stored(spark, f"{root}/log")[0][3] == 2
     deliver(spark, root, posts(spark, (2, "a", 0)), checkpoint="another")
     logged = results.read_changes(spark, f"{root}/log")
-    assert {r[0] for r in logged.select("run_id").distinct().collect()} == {0, 1}
+    runs = {r[0] >> 40 for r in logged.select("version").distinct().collect()}
+    assert runs == {0, 1}
     assert stored(spark, f"{root}/log")[0][3] == 3  # the source was read from its start
 
 
-def test_compacted_results_and_any_part_of_the_log(spark):
+def test_compaction_covers_batches_and_later_ones_win(spark):
     root = new_folder(spark, "compact")
-    log, small = f"{root}/log", f"{root}/small"
+    log = f"{root}/log"
+    assert results.compact(spark, log) == 0
     deliver(spark, root, posts(spark, (0, "a", 0), (0, None, 1)))
-    results.compact(spark, [log], small)
     deliver(spark, root, posts(spark, (1, "a", 2), (8, "b", 2)))
     current = stored(spark, log)
-    assert len(current) == 3 and stored(spark, small) != current
-    assert stored(spark, small, log) == current
-    later, rest = results.read_changes(spark, log).filter("batch_id > 0"), f"{root}/rest"
-    later.write.partitionBy("run_id", "batch_id", "window_date").parquet(rest)
-    assert stored(spark, small, rest) == current
-    assert stored(spark, rest) != current
+    before = results.parts_of(spark, log)
+    assert results.compact(spark, log) == 1
+    parts = results.needed(results.parts_of(spark, log))
+    assert [p.level for p in parts] == [1] and stored(spark, log) == current
+    # what is covered is still there for readers that have listed it, until the next time
+    assert set(before) < set(results.parts_of(spark, log))
+    assert results.compact(spark, log) == 0
+    assert results.parts_of(spark, log) == parts and stored(spark, log) == current
+    deliver(spark, root, posts(spark, (2, "a", 0), (9, "c", 1)))
+    assert len(stored(spark, log)) == 4 and stored(spark, log) != current
+    assert [r[3] for r in stored(spark, log) if r[2] == "a"] == [3]
+
+
+def test_a_replay_after_compaction_changes_nothing(spark):
+    log = new_folder(spark, "replay-compacted")
+    first = windowed_sentiment(posts(spark, (0, "a", 0), (0, "b", 0)), "5 minutes")
+    second = windowed_sentiment(posts(spark, (0, "a", 0), (0, "a", 2)), "5 minutes")
+    results.write_changes(first, log, 0, 0)
+    results.write_changes(second, log, 0, 1)
+    current = stored(spark, log)
+    results.compact(spark, log)
+    results.write_changes(second, log, 0, 1)
+    assert stored(spark, log) == current and len(current) == 2
+
+
+def test_the_job_compacts_its_log(spark):
+    root = new_folder(spark, "job-compacts")
+    for k in range(4):
+        posts(spark, (k, "a", 0)).write.mode("append").parquet(f"{root}/source")
+        stream = spark.readStream.schema(SCORED_POST).parquet(f"{root}/source")
+        windows = windowed_sentiment(stream, "1 hour", watermark="2 hours")
+        results.start_upsert(
+            windows, f"{root}/log", f"{root}/checkpoint", available_now=True, compact_every=2
+        ).awaitTermination()
+    levels = [p.level for p in results.parts_of(spark, f"{root}/log")]
+    assert 1 in levels
+    assert [r[3] for r in stored(spark, f"{root}/log")] == [4]
+
+
+def test_only_dates_of_the_range_are_opened(spark):
+    log = new_folder(spark, "dates")
+    for batch, minute in enumerate((0, 1440, 2880, 2885)):
+        results.write_changes(
+            windowed_sentiment(posts(spark, (minute, "a", 0)), "5 minutes"), log, 0, batch
+        )
+    now = T0 + timedelta(minutes=2890)
+    opened = current_range(spark, [log], now, 60, None).inputFiles()
+    assert len(opened) == 2 and all("window_date=2024-05-03" in f for f in opened)
+    assert len(results.read_results(spark, log).inputFiles()) == 4
+
+
+def test_a_large_batch_of_one_date_is_several_tasks(spark):
+    log = new_folder(spark, "large")
+    start = F.timestamp_seconds(F.lit(1714521600) + F.col("id") % 288 * 300)
+    one_day = spark.range(20_000).select(
+        start.alias("window_start"),
+        (start + F.expr("INTERVAL 5 MINUTES")).alias("window_end"),
+        F.col("id").cast("string").alias("topic"),
+        *(F.lit(1).alias(n) for n in WINDOWED_RESULT.names[3:]),
+    )
+    results.write_changes(one_day, log, 0, 0, rows_per_file=4000)
+    files = spark.read.parquet(log).groupBy(F.input_file_name()).count().collect()
+    assert len(files) == 5 and max(r["count"] for r in files) < 4600
 
 
 def test_results_of_nothing(spark):
     missing = new_folder(spark, "missing")
     assert stored(spark, missing) == []
     log = new_folder(spark, "nothing")
-    results.write_changes(spark.createDataFrame([], WINDOWED_RESULT), log, 0, 0, 2)
+    results.write_changes(spark.createDataFrame([], WINDOWED_RESULT), log, 0, 0)
     assert stored(spark, log) == []
 
 
@@ -126,7 +184,7 @@ def test_stored_types(spark):
     log = new_folder(spark, "types")
     batch = windowed_sentiment(posts(spark, (0, "a", 0)), "1 hour")
     narrow = batch.withColumn("positive", F.col("positive").cast("int"))
-    results.write_changes(narrow, log, 0, 0, 1)
+    results.write_changes(narrow, log, 0, 0)
     kept = {f.name: f.dataType for f in results.read_results(spark, log).schema.fields}
     assert {f.name: f.dataType for f in WINDOWED_RESULT.fields}.items() <= kept.items()
 
@@ -134,11 +192,10 @@ def test_stored_types(spark):
 def test_latest_rows_come_from_hash_aggregates_of_pruned_folders(spark):
     log = new_folder(spark, "plan")
     batch = windowed_sentiment(posts(spark, (0, "a", 0), (3000, "a", 0)), "1 hour")
-    results.write_changes(batch, log, 0, 0, 1)
+    results.write_changes(batch, log, 0, 0)
     text = plan(current_range(spark, [log], T0 + timedelta(minutes=3000), 60, None))
     assert "SortAggregate" not in text and text.count("Exchange (") == 1
-    filters = next(line for line in text.splitlines() if line.startswith("PartitionFilters"))
-    assert "window_date" in filters
+    assert "window_date=2024-05-03" in text and "window_date=2024-05-01" not in text
     assert "GreaterThanOrEqual(window_start" in text
 
 
@@ -147,7 +204,7 @@ def test_stored_dates_do_not_depend_on_the_session_zone(spark):
     batch = windowed_sentiment(posts(spark, (0, "a", 0), (-700, "a", 0)), "5 minutes")
     try:
         spark.conf.set("spark.sql.session.timeZone", "Asia/Ho_Chi_Minh")
-        results.write_changes(batch, log, 0, 0, 1)
+        results.write_changes(batch, log, 0, 0)
         moved = results.read_changes(spark, log).select("window_date").distinct().collect()
         found = current_range(spark, [log], T0 + timedelta(minutes=10), 720, None).count()
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
