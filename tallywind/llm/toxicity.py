@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywind.llm.common import bounded_broadcast, importable, whole_text, written
+from tallywind.llm.common import bounded_broadcast, ready_for_python, whole_text, written
 from tallywind.llm.labelled import remainder, training_labels
 
 PARTS, HELD = 4, 2
@@ -96,7 +96,7 @@ def _trigrams(words: Counter) -> np.ndarray:
 
 
 #: Distinct words held at once while counting.
-HELD_WORDS = 200_000
+HELD_WORDS = 100_000
 
 
 def letter_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -175,6 +175,8 @@ def read_token(token: str, model: LetterModel) -> tuple[str, ...]:
     """The words a lower-case token stands for, punctuation taken off."""
     if token.isalpha() and not TRIPLE.search(token):
         return (token,)
+    if ADDRESS.search(token):
+        return ()
     bare = token.strip(".,;:!?\"'()[]{}<>|#*$%&-_=+/\\")
     if PLAIN.fullmatch(bare) and not TRIPLE.search(bare):
         # what was taken off may belong to the word: `$cum`
@@ -182,7 +184,7 @@ def read_token(token: str, model: LetterModel) -> tuple[str, ...]:
             return bare, viterbi(token, model)
         return (bare,)
     suspicious = DISGUISED.search(token) or TRIPLE.search(token)
-    if suspicious and len(token) <= LONGEST and not ADDRESS.search(token):
+    if suspicious and len(token) <= LONGEST:
         return (viterbi(token, model), *(w for w in PLAIN.findall(token) if len(w) > 1))
     return tuple(PLAIN.findall(token))
 
@@ -254,7 +256,8 @@ def _counted(rows: DataFrame, model, settings: Settings) -> DataFrame:
                 counts[int(label)].update({f for w in words for f in features_of(w, settings.beginnings)})
                 if len(counts[0]) + len(counts[1]) > HELD_WORDS:
                     yield flush()
-        yield flush()
+        if counts[0] or counts[1]:
+            yield flush()
 
     return (
         rows.mapInPandas(count, "feature string, clean long, toxic long")
@@ -279,7 +282,8 @@ def _contexts(rows: DataFrame, model, wanted, settings: Settings) -> DataFrame:
                     for k in range(1, len(words) - 1):
                         if not wanted.value.isdisjoint(features_of(words[k], settings.beginnings)):
                             found.add((words[k], f"{words[k - 1]} {words[k + 1]}", int(label)))
-                yield pd.DataFrame(found, columns=["word", "context", "label"])
+                if found:
+                    yield pd.DataFrame(found, columns=["word", "context", "label"])
 
     return (
         rows.mapInPandas(find, "word string, context string, label int")
@@ -398,7 +402,7 @@ def fit(
     in distinct contexts, which also give its probability. Without labelled rows of both
     kinds there are no features and every text scores the base.
     """
-    importable(docs)
+    ready_for_python(docs)
     spark = docs.sparkSession
     counts = np.zeros(KINDS**3, np.int64)
     for row in letter_counts(docs, text).collect():  # at most 28^3 rows
@@ -444,7 +448,7 @@ def fit(
 
 
 def toxicity_score(model: ToxicityModel, text: Column, df: DataFrame) -> Column:
-    importable(df)
+    ready_for_python(df)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
