@@ -283,6 +283,7 @@ SELECT id, array_to_string(list_filter(tokens,
 FROM tokenized""",
     "vocabulary": _VOCABULARY,
     "publish_json": f"WITH {_MESSAGES} SELECT id, topic, text, event_time FROM messages",
+    "stream_publish": f"WITH {_MESSAGES} SELECT id, topic, text, event_time FROM messages",
     "parse_messages": _PARSED,
     "parse_event_time": f"""
 WITH {_MESSAGES}

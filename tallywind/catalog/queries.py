@@ -22,7 +22,7 @@ from tallywind.operators import evaluation, posts, profile, report, serving, ter
 from tallywind.operators.windows import WATERMARK_BY_WIDTH, windowed_sentiment
 from tallywind.plans import collecting, scoring, training
 from tallywind.plans.panels import current_range
-from tallywind.schemas import SCORED_POST, WINDOWED_RESULT
+from tallywind.schemas import ENVELOPE, SCORED_POST, WINDOWED_RESULT
 from tallywind.session import new_folder, pin_utc
 from tallywind.sources import files
 from tallywind.sources.messages import (
@@ -30,6 +30,7 @@ from tallywind.sources.messages import (
     parse_messages,
     publish,
     ready_to_score,
+    start_publishing,
     to_messages,
 )
 from tallywind.streaming.archive import start_archive
@@ -647,6 +648,20 @@ def _published(spark, sf_dir, root):
     return file_stream(spark, f"{root}/messages")
 
 
+@register("stream_publish")
+def stream_publish(spark, sf_dir):
+    """Documents as they arrive, published as messages, and parsed again."""
+    root = new_folder(spark, "publish")
+    arriving = views.messages_of(views.table_stream(spark, sf_dir, "documents"))
+    sent = to_messages(arriving, F.col("event_time"))
+    _finish(
+        start_publishing(
+            sent, "parquet", f"{root}/checkpoint", available_now=True, path=f"{root}/messages"
+        )
+    )
+    return _lower_names(parse_messages(spark.read.schema(ENVELOPE).parquet(f"{root}/messages")))
+
+
 @register("stream_ingest")
 def stream_ingest(spark, sf_dir):
     root = new_folder(spark, "ingest")

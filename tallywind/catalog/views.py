@@ -33,6 +33,11 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`id, Topic, Label, Text, event_time` from the documents."""
+    return messages_of(table(spark, sf_dir, "documents"))
+
+
+def messages_of(documents: DataFrame) -> DataFrame:
+    """The same from given documents, a batch or a stream."""
     doc = F.col("doc_id")
     text = (
         F.when(doc % 50 == 0, F.lit(None))
@@ -45,7 +50,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     moment = F.timestamp_seconds(F.lit(EPOCH_2024) + doc * 37)
     time = F.when(doc % 40 == 3, "bad").otherwise(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"))
-    return table(spark, sf_dir, "documents").select(
+    return documents.select(
         doc.cast("string").alias("id"),
         F.col("source").alias("Topic"),
         F.col("lang").alias("Label"),

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallywind.functions.text import clean_text
 from tallywind.functions.times import event_timestamp
@@ -35,6 +36,26 @@ def publish(messages: DataFrame, fmt: str, **options: str) -> None:
     messages.write.format(fmt).mode("append").options(**options).save()
 
 
+def start_publishing(
+    messages: DataFrame,
+    fmt: str,
+    checkpoint: str,
+    *,
+    available_now: bool = False,
+    trigger: str | None = None,
+    **options: str,
+) -> StreamingQuery:
+    """The same for a stream of messages, with any streaming sink. A broker may see the
+    messages of a batch twice after a failure; files are written once."""
+    writer = messages.writeStream.format(fmt).outputMode("append").options(**options)
+    writer = writer.option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
+    return writer.start()
+
+
 def kafka_options(
     servers: str,
     topic: str,
