@@ -41,16 +41,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids per document of the mix, with its source and language."""
-    tokens = docs.select(
-        "doc_id", "source", "lang", bpe.encoded(F.col("text"), ranks_path(), docs).alias("t")
-    )
-    return tokens.select(
-        "doc_id",
-        "source",
-        "lang",
-        F.col("t.ids").alias("ids"),
-        (F.length("t.ids") / 4).cast("long").alias("n_tokens"),
-    )
+    tokens = bpe.tokenize(docs, ranks_path(), carry=("source", "lang"))
+    return tokens.select("doc_id", "source", "lang", "ids", "n_tokens")
 
 
 STAGES = [

@@ -18,12 +18,13 @@ from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import tiktoken
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallywind.llm.common import importable, whole_text
+from tallywind.llm.common import ready_for_python, whole_text
 
 LETTER, NUMBER, OTHER, APOSTROPHE, SPACE, WHITE, END = range(7)
 
@@ -168,10 +169,13 @@ def read_ranks(path: str) -> bytes:
 
 
 class Codec:
-    """Merges and vocabulary of one rank file. The cache is bounded: it starts anew
-    when it is full."""
+    """Merges and vocabulary of one rank file.
 
-    CACHE = 1_000_000
+    The cache has two generations of bounded size: a full one becomes the old one, in
+    place of the one before, and pieces that are met again move to the new one.
+    """
+
+    CACHE = 100_000
     LONG = 48
     NEVER = np.iinfo(np.int64).max
 
@@ -196,17 +200,48 @@ class Codec:
                 if left is not None and right is not None:
                     keys.append(left * size + right)
                     merged.append(rank)
-        order = np.argsort(np.array(keys, np.int64))
-        self.keys = np.array(keys, np.int64)[order]
-        self.merged = np.array(merged, np.int64)[order]
+        self._tabulate(np.array(keys, np.int64), np.array(merged, np.int64))
         self.pairs = dict(zip(keys, merged, strict=True))
         self.cache: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    SLOTS = 20
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.SLOTS)).astype(np.int64)
+
+    def _tabulate(self, keys: np.ndarray, merged: np.ndarray) -> None:
+        """Pairs and what they merge to in an open-addressed table: each round puts
+        one of the keys that want a slot there, and the others try the next."""
+        size = 1 << self.SLOTS
+        self.keys = np.full(size, -1, np.int64)
+        self.merged = np.full(size, self.NEVER, np.int64)
+        at, self.probes = self._slot(keys), 0
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]
+            put = self.keys[at] == keys
+            self.merged[at[put]] = merged[put]
+            keys, merged, at = keys[~put], merged[~put], (at[~put] + 1) & (size - 1)
+            self.probes += 1
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The id that each pair merges to, which is its rank too."""
         wanted = left * self.size + right
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return np.where(self.keys[at] == wanted, self.merged[at], self.NEVER)
+        at = self._slot(wanted)
+        found = np.where(self.keys[at] == wanted, self.merged[at], self.NEVER)
+        open_ = np.flatnonzero((self.keys[at] != wanted) & (self.keys[at] >= 0))
+        for _ in range(1, self.probes):
+            if not len(open_):
+                break
+            at[open_] = (at[open_] + 1) & ((1 << self.SLOTS) - 1)
+            here = self.keys[at[open_]]
+            hit = here == wanted[open_]
+            found[open_[hit]] = self.merged[at[open_[hit]]]
+            open_ = open_[~hit & (here >= 0)]
+        return found
 
     def _merge_long(self, piece: bytes) -> list[int]:
         """One piece with a heap: n log n for a piece of n bytes."""
@@ -246,16 +281,16 @@ class Codec:
         ids = self.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
         piece = np.repeat(np.arange(len(pieces)), lengths)
         active = np.arange(len(pieces))
+        # rank[k] is that of the pair at k and k + 1, NEVER at the end of a piece
+        rank = np.full(len(ids), self.NEVER)
+        rank[:-1] = self._rank(ids[:-1], ids[1:])
+        rank[np.cumsum(lengths) - 1] = self.NEVER
         while len(active):
-            inside = np.append(piece[1:] == piece[:-1], False)
-            rank = np.full(len(ids), self.NEVER)
-            left = np.flatnonzero(inside)
-            rank[left] = self._rank(ids[left], ids[left + 1])
             starts = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
             least = np.minimum.reduceat(rank, starts)
-            widths = np.diff(np.append(starts, len(ids)))
             done = least == self.NEVER
             if done.any():
+                widths = np.diff(np.append(starts, len(ids)))
                 final = ids.astype("<u4").tobytes()
                 for which, s, w in zip(
                     active[done].tolist(), starts[done].tolist(), widths[done].tolist(), strict=True
@@ -266,19 +301,32 @@ class Codec:
                 active, least, widths = active[~done], least[~done], widths[~done]
                 if not len(active):
                     return
-            piece = np.repeat(np.arange(len(active)), widths)
+                piece = np.repeat(np.arange(len(active)), widths)
             at = np.flatnonzero(rank == least[piece])
             at = at[np.append(True, piece[at[1:]] != piece[at[:-1]])]
             ids[at] = rank[at]
             keep = np.ones(len(ids), bool)
             keep[at + 1] = False
-            ids, piece = ids[keep], piece[keep]
-
-    def learn(self, pieces: Iterable[bytes]) -> None:
+            at = at - np.arange(len(at))  # one id has gone before each, of the pieces before
+            ids, piece, rank = ids[keep], piece[keep], rank[keep]
+            inside = at[at + 1 < len(ids)]
+            inside = inside[piece[inside] == piece[inside + 1]]
+            rank[at] = self.NEVER
+            rank[inside] = self._rank(ids[inside], ids[inside + 1])
+            before = at[at > 0] - 1
+            before = before[piece[before] == piece[before + 1]]
+            rank[before] = self._rank(ids[before], ids[before + 1])
+
+    def learn(self, pieces: set[bytes]) -> None:
         """Put the ids of these pieces into the cache."""
-        missing = [p for p in set(pieces) if p not in self.cache]
+        if len(self.cache) > self.CACHE:
+            self.old, self.cache = self.cache, {}
         short = []
-        for p in missing:
+        for p in pieces.difference(self.cache):
+            known = self.old.get(p)
+            if known is not None:
+                self.cache[p] = known
+                continue
             whole = self.ranks.get(p)
             if whole is not None:
                 self.cache[p] = whole.to_bytes(4, "little")
@@ -291,10 +339,8 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.cache) > self.CACHE:
-            self.cache = {}
         cut = list(slices(texts))
-        self.learn(p for pieces in cut for p in pieces)
+        self.learn(set().union(*cut))
         of = self.cache.__getitem__
         return [b"".join(map(of, pieces)) for pieces in cut]
 
@@ -320,7 +366,7 @@ def _codec(ranks: bytes) -> Codec:
 
 
 #: Characters laid end to end at once; a longer text goes alone.
-CHUNK = 1_000_000
+CHUNK = 500_000
 
 
 def _chunks(texts: Iterable[str]) -> Iterator[list[str]]:
@@ -335,56 +381,74 @@ def _chunks(texts: Iterable[str]) -> Iterator[list[str]]:
         yield held
 
 
-def encoded(text: Column, ranks_path: str, df: DataFrame) -> Column:
-    """A struct of `ids` and `ends`, both binary, for a text. The rank file is read
-    once, on the driver, and sent to the tasks."""
-    importable(df)
-    shared = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-
-    @F.pandas_udf("struct<ids:binary,ends:binary>")
-    def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = _codec(shared.value)
-        for texts in batches:
-            ids = [found for held in _chunks(texts) for found in codec.encode(held)]
-            yield pd.DataFrame(
-                {"ids": ids, "ends": [codec.ends(i) for i in ids]}, columns=["ids", "ends"]
-            )
-
-    return encode_batches(whole_text(text))
-
+def _binary(name: str) -> T.StructField:
+    return T.StructField(name, T.BinaryType())
 
-def decoded(ids: Column, ends: Column, ranks_path: str, df: DataFrame) -> Column:
-    """The bytes that the tokens stand for, from ids and retained offsets."""
-    importable(df)
-    shared = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
-    @F.pandas_udf("binary")
-    def decode_batches(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        codec = _codec(shared.value)
-        for tokens, stops in batches:
-            yield pd.Series(
-                [codec.decode(a, b) for a, b in zip(tokens, stops, strict=True)], dtype=object
-            )
-
-    return decode_batches(ids, ends)
+def _with_columns(batch: pa.RecordBatch, drop: tuple[str, ...], made: dict[str, list[bytes]]):
+    """The batch without some columns and with new binary ones."""
+    kept = {n: batch.column(n) for n in batch.schema.names if n not in drop}
+    return pa.RecordBatch.from_pydict(kept | {n: pa.array(v, pa.binary()) for n, v in made.items()})
 
 
-def tokenize(docs: DataFrame, ranks_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`doc_id, ids, ends, n_tokens` for every row of the documents.
+def tokenize(
+    docs: DataFrame,
+    ranks_path: str,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    carry: tuple[str, ...] = (),
+    decode: bool = False,
+) -> DataFrame:
+    """`doc_id`, the columns to carry, `ids`, `ends` and `n_tokens` for every row: the
+    ids as little-endian unsigned 32-bit integers, and likewise where each token ends
+    in the text's UTF-8; with `decode` also `decoded`, the bytes that these give back.
 
     A null text is an empty one and has no tokens; so has an empty text. Texts are
     encoded whole and alone: no token spans two of them. Repeated rows are encoded
-    alike. Memory is bounded by a chunk, or the longest text, and the cache.
+    alike; an empty table gives no rows. The rank file is read once, on the driver, and
+    sent to the tasks. Memory is bounded by an Arrow batch of texts, the results of a
+    chunk of it, or of the longest text, and the cache.
     """
-    return (
-        docs.select(F.col(doc_id).alias("doc_id"), encoded(F.col(text), ranks_path, docs).alias("t"))
-        .select("doc_id", "t.ids", "t.ends")
-        .withColumn("n_tokens", (F.length("ids") / 4).cast("long"))
+    ready_for_python(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"), *[F.col(c) for c in carry], whole_text(text).alias("_text")
+    )
+    made = ("ids", "ends", *(["decoded"] if decode else []))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(shared.value)
+        for batch in batches:
+            at = 0
+            for texts in _chunks(t.as_py() for t in batch.column("_text")):
+                ids = codec.encode(texts)
+                found = {"ids": ids, "ends": [codec.ends(i) for i in ids]}
+                if decode:
+                    found["decoded"] = [
+                        codec.decode(i, e) for i, e in zip(ids, found["ends"], strict=True)
+                    ]
+                yield _with_columns(batch.slice(at, len(texts)), ("_text",), found)
+                at += len(texts)
+
+    schema = T.StructType(rows.drop("_text").schema.fields + [_binary(n) for n in made])
+    return rows.mapInArrow(encode, schema).withColumn(
+        "n_tokens", (F.length("ids") / 4).cast("long")
     )
 
 
 def detokenize(tokens: DataFrame, ranks_path: str) -> DataFrame:
-    """The columns of `tokens` and `decoded`, the bytes of each text."""
-    return tokens.withColumn(
-        "decoded", decoded(F.col("ids"), F.col("ends"), ranks_path, tokens)
-    )
+    """The columns of `tokens` and `decoded`, the bytes of each text, from ids and
+    retained offsets."""
+    ready_for_python(tokens)
+    shared = tokens.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(shared.value)
+        for batch in batches:
+            pairs = zip(batch.column("ids"), batch.column("ends"), strict=True)
+            yield _with_columns(
+                batch, (), {"decoded": [codec.decode(i.as_py(), e.as_py()) for i, e in pairs]}
+            )
+
+    schema = T.StructType(tokens.schema.fields + [_binary("decoded")])
+    return tokens.mapInArrow(decode, schema)

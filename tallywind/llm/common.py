@@ -43,12 +43,25 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def importable(df: DataFrame) -> None:
-    """Let the Python workers of a local session import this package from where the
-    driver found it, whatever its working folder. On a cluster the package is
-    installed, or shipped with `--py-files`."""
+#: Rows of a batch that goes to Python: texts are long.
+ROWS_PER_BATCH = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def ready_for_python(df: DataFrame) -> None:
+    """Settings of the session for work on texts in Python tasks; both stay.
+
+    Batches are cut to ROWS_PER_BATCH rows where the session allows more, since a task
+    holds a batch several times over. And the workers of a local session may import
+    this package from where the driver found it, whatever its working folder; on a
+    cluster the package is installed, or shipped with `--py-files`.
+    """
+    spark = df.sparkSession
+    most = int(spark.conf.get(_BATCH_SETTING))
+    if not 0 < most <= ROWS_PER_BATCH:
+        spark.conf.set(_BATCH_SETTING, str(ROWS_PER_BATCH))
     root = str(Path(__file__).resolve().parents[2])
-    environment = df.sparkSession.sparkContext.environment
+    environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])

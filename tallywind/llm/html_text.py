@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywind.llm.common import importable, whole_text
+from tallywind.llm.common import ready_for_python, whole_text
 
 #: Fixed element names of HTML.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp", "noembed", "noframes"}
@@ -295,7 +295,7 @@ def extract(
     the container's depth fall to the one that comes first on the page.
     """
 
-    importable(pages)
+    ready_for_python(pages)
 
     @F.pandas_udf("string")
     def texts(batch: pd.Series) -> pd.Series:

@@ -77,8 +77,7 @@ def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = ranks_path()
-    tokens = bpe.detokenize(bpe.tokenize(table(spark, sf_dir, "documents"), path), path)
+    tokens = bpe.tokenize(table(spark, sf_dir, "documents"), ranks_path(), decode=True)
     return tokens.select(
         "doc_id",
         "n_tokens",

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywind.llm.common import importable, whole_text
+from tallywind.llm.common import ready_for_python, whole_text
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
@@ -142,7 +142,7 @@ def repetition(
     documents do not count, and an empty table gives no rows. Memory is bounded by
     the longest text.
     """
-    importable(docs)
+    ready_for_python(docs)
     lengths = tuple(sorted(limits.grams))
 
     @F.pandas_udf(f"struct<{COLUMNS.replace(' long', ':long').replace(' double', ':double').replace(' array', ':array')}>")

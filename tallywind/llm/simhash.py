@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywind.llm.common import importable, whole_text, written
+from tallywind.llm.common import ready_for_python, whole_text, written
 from tallywind.llm.components import components
 
 #: Words of a shingle, and the most differing bits of a link.
@@ -203,7 +203,7 @@ def near_duplicates(
     however large. Repeated rows are returned as often as they come. A row without
     an id belongs to its component, whose id is null only if no member has one.
     """
-    importable(docs)
+    ready_for_python(docs)
     marked = written(
         docs.select(
             F.col(doc_id).alias("doc_id"),
