@@ -24,8 +24,9 @@ WINDOW = 5
 
 @dataclass(frozen=True)
 class Limits:
-    """Largest shares of a text's word characters that may lie in duplicated n-grams
-    by length, and in lines that repeat an earlier one."""
+    """Largest shares of a text's word characters that may lie in n-grams, by length,
+    and in lines that repeat an earlier one: what stands there for the first time is
+    not counted. The limits are widely used ones for web text."""
 
     grams: dict[int, float] = field(
         default_factory=lambda: {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
@@ -70,15 +71,19 @@ def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mixed * _MIX
 
 
-def duplicated(hashes: np.ndarray) -> np.ndarray:
-    """True for each window that occurs twice or more."""
+def duplicated(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """True for each window that occurs twice or more, and for each that occurred
+    before."""
     order = np.argsort(hashes)
     ranked = hashes[order]
     same = ranked[1:] == ranked[:-1]
     twice = np.zeros(len(hashes), bool)
     twice[order[1:][same]] = True
     twice[order[:-1][same]] = True
-    return twice
+    later = twice.copy()
+    if same.any():
+        later[np.minimum.reduceat(order, np.flatnonzero(np.append(True, ~same)))] = False
+    return twice, later
 
 
 def covered(starts: np.ndarray, n: int, words: int) -> np.ndarray:
@@ -120,15 +125,12 @@ def measure(text: str, lengths: tuple[int, ...]) -> tuple:
             seen.add(line)
     repeat_words, shares = 0, []
     for n in sorted({WINDOW, *lengths}):
-        inside = (
-            covered(duplicated(rolling_hashes(numbers, n)), n, count)
-            if count > n
-            else np.zeros(count, bool)
-        )
-        if n == WINDOW:
-            repeat_words = int(inside.sum())
+        twice, later = duplicated(rolling_hashes(numbers, n)) if count > n else (None, None)
+        if n == WINDOW and twice is not None and twice.any():
+            repeat_words = int(covered(twice, n, count).sum())
         if n in lengths:
-            shares.append(float(sizes[inside].sum()) / total)
+            again = later is not None and later.any()
+            shares.append(float(sizes[covered(later, n, count)].sum()) / total if again else 0.0)
     return count, total, symbols, dup_lines, repeat_words, dup_chars / total, shares
 
 

@@ -13,11 +13,11 @@ def slow(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     total = sum(map(len, words))
 
-    def inside(n):
+    def inside(n, first=True):
         grams = [tuple(words[k : k + n]) for k in range(len(words) - n + 1)]
         marked = set()
         for k, g in enumerate(grams):
-            if grams.count(g) > 1:
+            if grams.count(g) > 1 and (first or grams.index(g) < k):
                 marked.update(range(k, k + n))
         return marked
 
@@ -28,7 +28,7 @@ def slow(text):
             dup += 1
             chars += sum(map(len, parts))
         seen.add(line)
-    shares = [sum(len(words[k]) for k in inside(n)) / total if total else 0.0 for n in LENGTHS]
+    shares = [sum(len(words[k]) for k in inside(n, False)) / total if total else 0.0 for n in LENGTHS]
     symbols = sum(c in "#*$%&|<>" for c in text)
     return len(words), total, symbols, dup, len(inside(5)), chars / total if total else 0.0, shares
 
