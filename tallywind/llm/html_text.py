@@ -44,6 +44,8 @@ HINTS = {
     "promo", "promoted", "promotion", "related", "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup",
     "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+COMMENTS = {"comment", "comments", "reply", "replies"}
+LAYOUT = {"closed", "has", "hide", "is", "no", "not", "open", "single", "with", "without"}
 #: An opening tag of one of these ends an open one of the others.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -87,8 +89,6 @@ def _announces(tag: str, attributes: str) -> bool:
     """Whether an element is furniture by name, role, class, id, or hidden."""
     if tag in FURNITURE:
         return True
-    if tag in ("html", "body", "article", "main") and "comment" not in attributes.lower():
-        return False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
@@ -97,10 +97,24 @@ def _announces(tag: str, attributes: str) -> bool:
             return True
         if name == "role" and value.lower() in ROLES:
             return True
-        if name in ("class", "id"):
-            split = re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()
-            if not HINTS.isdisjoint(WORDS.findall(split)):
+        if name in ("class", "id") and _hinted(tag, value):
+            return True
+    return False
+
+
+def _hinted(tag: str, names: str) -> bool:
+    """Whether one of an element's names announces furniture. Names that speak of the
+    page's layout (`has-sidebar`, `comments-open`) do not, and what is called an
+    article is furniture only as a comment."""
+    for name in re.sub(r"([a-z])([A-Z])", r"\1-\2", names).lower().split():
+        words = WORDS.findall(name)
+        if not words or words[0] in LAYOUT or words[-1] in LAYOUT:
+            continue
+        if tag in ("html", "body", "article", "main"):
+            if words[0] in COMMENTS:
                 return True
+        elif not HINTS.isdisjoint(words):
+            return True
     return False
 
 
@@ -109,9 +123,10 @@ def _announces(tag: str, attributes: str) -> bool:
 DEEPEST = 200
 
 
-def text_nodes(page: str) -> Iterator[tuple[int, Element, str]]:
+def text_nodes(page: str, named: bool = True) -> Iterator[tuple[int, Element, str]]:
     """`block number, element, text` of each text node outside of furniture, in page
-    order. Tags may be left open or closed twice; what is no tag is text."""
+    order. Tags may be left open or closed twice; what is no tag is text. Without
+    `named`, only the names of elements tell what is furniture."""
     root = Element("", None, False)
     stack = [root]
     block, at, size = 0, 0, len(page)
@@ -174,7 +189,7 @@ def text_nodes(page: str) -> Iterator[tuple[int, Element, str]]:
         if len(stack) > DEEPEST:
             continue
         parent = stack[-1]
-        furniture = parent.furniture or _announces(tag, attributes)
+        furniture = parent.furniture or _announces(tag, attributes if named else "")
         if furniture and not parent.furniture and tag == "header":
             # the heading of an article may stand in the article's own header
             furniture = not any(e.tag in ("article", "main") for e in stack)
@@ -183,12 +198,12 @@ def text_nodes(page: str) -> Iterator[tuple[int, Element, str]]:
         stack.append(Element(tag, parent, furniture))
 
 
-def _blocks(page: str) -> list[tuple[Element, list[tuple[Element, str]]]]:
+def _blocks(page: str, named: bool = True) -> list[tuple[Element, list[tuple[Element, str]]]]:
     """The page's blocks: the element a block stands in, and its nodes. Blocks of
     white space alone are none."""
     found: list[tuple[Element, list[tuple[Element, str]]]] = []
     last = None
-    for block, element, text in text_nodes(page):
+    for block, element, text in text_nodes(page, named):
         if block != last:
             holder = element
             while holder.parent and holder.tag not in BLOCKS:
@@ -234,7 +249,8 @@ def path_scores(blocks, options: Options) -> dict[str, float]:
 
 def main_text(page: str, options: Options = OPTIONS) -> str:
     """The article of one page, blocks joined by an empty line; empty if none."""
-    blocks = _blocks(page)
+    # a page whose every part is named like furniture is judged by its elements
+    blocks = _blocks(page) or _blocks(page, named=False)
     scores = path_scores(blocks, options)
     if not scores:
         return ""

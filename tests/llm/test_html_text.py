@@ -41,6 +41,19 @@ def test_comment_articles_are_not_the_article():
     assert main_text(page) == "The text, itself."
 
 
+def test_names_of_layout_are_no_furniture():
+    text = "<p>The text, itself. And some more of it, here.</p>"
+    for opened in (
+        "<body class='has-sidebar'>",
+        "<div class='row with-sidebar'>",
+        "<article class='post comments-open'>",
+        "<div id='comments'>",  # all there is
+    ):
+        assert main_text(opened + text) == "The text, itself. And some more of it, here."
+    side = "<div class='leftSidebar'><p>Side text, with marks. Long, long, long text of it.</p></div>"
+    assert main_text(side + "<div>" + text + "</div>") == "The text, itself. And some more of it, here."
+
+
 def test_path_scores_prefer_text_with_punctuation():
     scores = path_scores(_blocks("<div><p>Some text, with marks, and more.</p><b>x</b><i>y</i><u>z</u></div>"), OPTIONS)
     assert max(scores, key=scores.get).endswith("p")
