@@ -19,7 +19,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywind.llm.common import importable, whole_text, written
+from tallywind.llm.common import ready_for_python, whole_text, written
 from tallywind.llm.labelled import remainder, training_labels
 from tallywind.llm.repetition import WINDOW, covered, duplicated, rolling_hashes
 
@@ -66,7 +66,7 @@ def describe(text: str) -> tuple[float, ...]:
         numbers = (numbers + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     repeated = 0
     if n > WINDOW:
-        repeated = int(covered(duplicated(rolling_hashes(numbers, WINDOW)), WINDOW, n).sum())
+        repeated = int(covered(duplicated(rolling_hashes(numbers, WINDOW))[0], WINDOW, n).sum())
     return (
         float(n),
         chars / n,
@@ -93,7 +93,7 @@ def describe(text: str) -> tuple[float, ...]:
 def statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`doc_id` and one double per statistic, for every row."""
 
-    importable(docs)
+    ready_for_python(docs)
 
     @F.pandas_udf("struct<" + ",".join(f"{s}:double" for s in STATISTICS) + ">")
     def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -195,17 +195,17 @@ def score_quality(
 ) -> DataFrame:
     """`doc_id, held_out, score, predicted` for every row of the documents.
 
-    Statistics are computed once, written, and read by the fit and the scoring. All
-    labelled rows outside the held-out part are learned from. A null text is an empty
+    Statistics are computed once, written, and read by the fit and the scoring; so are
+    the rows of the fit, which many passes read. All labelled rows outside the held-out
+    part are learned from. A null text is an empty
     one; texts without words have all statistics zero and are scored by them. A null
     id is never held out. Repeated rows are scored alike.
     """
     measured = written(statistics(docs, doc_id, text), "statistics")
     known = training_labels(labels, "quality", PARTS, HELD)
-    model = fit(
-        measured.join(known, F.col("doc_id") == F.col("label_id")).select("label", *STATISTICS),
-        settings,
-    )
+    joined = measured.join(known, F.col("doc_id") == F.col("label_id"))
+    rows = written(joined.select("label", *STATISTICS), "quality-rows")
+    model = fit(rows, settings)
     return measured.select(
         "doc_id",
         F.coalesce(remainder(F.col("doc_id"), PARTS) == HELD, F.lit(False)).alias("held_out"),
