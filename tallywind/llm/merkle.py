@@ -124,6 +124,19 @@ def differing_paragraphs(a: Column, b: Column) -> Column:
     return F.when(root_of(a) == root_of(b), F.array().cast("array<int>")).otherwise(places)
 
 
+def _place(value: Column, cuts: list) -> Column:
+    """How many of the sorted cuts are at most the value: every 64th is tried, and then
+    those of one step."""
+    if not cuts:
+        return F.lit(0)
+    step = 64
+    upto = lambda xs: F.size(F.filter(xs, lambda c: c <= value))
+    every = F.array(*[F.lit(c) for c in cuts])
+    steps = cuts[step - 1 :: step]
+    before = (upto(F.array(*[F.lit(c) for c in steps])) if steps else F.lit(0)) * step
+    return before + upto(F.slice(every, before + 1, F.lit(step)))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Rows of `doc_id, text, fingerprint` with `next_text, next_fingerprint`: those of
     the row that follows by ascending id; the first follows the last.
@@ -141,8 +154,7 @@ def with_next(docs: DataFrame) -> DataFrame:
         F.percentile_approx("doc_id", F.array(*[F.lit(k / buckets) for k in range(1, buckets)]) if buckets > 1 else F.array(F.lit(0.5)), 10 * buckets).alias("q")
     ).first()["q"]
     cuts = sorted(set(cuts or []))
-    within = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<double>"), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
-    bucket = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(within).cast("int")
+    bucket = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(_place(F.col("doc_id"), cuts)).cast("int")
     dealt = docs.withColumn("bucket", bucket)
     firsts = docs.select(bucket.alias("at"), "doc_id").groupBy("at").agg(F.min("doc_id").alias("first_id"))
     # at most one row per bucket: this window and the broadcast are bounded by that
