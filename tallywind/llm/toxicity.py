@@ -16,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache, cached_property
 
 import numpy as np
 import pandas as pd
@@ -82,37 +83,51 @@ def kind(letter: str) -> int:
 # ---------------------------------------------------------------- language model
 
 
-def _trigrams(words: Counter) -> np.ndarray:
-    """Counts of trigrams of kinds, from counts of words."""
-    counts = np.zeros(KINDS**3, np.int64)
-    for word, n in words.items():
-        a = b = EDGE
-        for letter in word:
-            c = kind(letter)
-            counts[(a * KINDS + b) * KINDS + c] += n
-            a, b = b, c
-        counts[(a * KINDS + b) * KINDS + EDGE] += n
+@cache
+def _kinds() -> np.ndarray:
+    """The kind of every code point: its letter, another letter, or an edge."""
+    kinds = np.full(0x110000, EDGE, np.int64)
+    kinds[[c for c in range(0x110000) if chr(c).isalpha()]] = REST
+    for letter, k in LETTERS.items():
+        kinds[ord(letter)] = k
+    return kinds
+
+
+def trigrams(text: str) -> np.ndarray:
+    """How often each trigram of kinds occurs in the lower-cased letter runs of a text,
+    with two edges before each run and one after it."""
+    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4")
+    kinds = _kinds()[points]
+    a, b, c = kinds[:-2], kinds[1:-1], kinds[2:]
+    inside = (b != EDGE) | (c != EDGE)
+    codes = (np.where(b == EDGE, EDGE, a) * KINDS + b) * KINDS + c
+    counts = np.bincount(codes[inside], minlength=KINDS**3)
+    if len(kinds) > 1 and kinds[1] != EDGE:  # the first run of all has no place before it
+        counts[(EDGE * KINDS + EDGE) * KINDS + kinds[1]] += 1
     return counts
 
 
-#: Distinct words held at once while counting.
+#: Words or features held at once.
 HELD_WORDS = 100_000
+#: Characters counted at once.
+COUNTED = 500_000
 
 
 def letter_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`gram, n`: how often each trigram of letter kinds occurs in plain words of all
+    """`gram, n`: how often each trigram of letter kinds occurs in the words of all
     documents. A task returns its sums, at most 28^3 rows, and these are added up."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(KINDS**3, np.int64)
-        words: Counter = Counter()
         for batch in batches:
+            held, size = [], 0
             for value in batch["text"]:
-                words.update(w for w in value.lower().split() if w.isalpha())
-                if len(words) > HELD_WORDS:
-                    total += _trigrams(words)
-                    words = Counter()
-        total += _trigrams(words)
+                held.append(value)
+                size += len(value)
+                if size > COUNTED:
+                    total += trigrams(" ".join(held))
+                    held, size = [], 0
+            total += trigrams(" ".join(held))
         found = np.flatnonzero(total)
         yield pd.DataFrame({"gram": found, "n": total[found]})
 
@@ -340,6 +355,13 @@ def chosen_features(
     return found
 
 
+def _has_triple(text: str) -> bool:
+    """Whether a character stands three times in a row."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    same = points[1:] == points[:-1]
+    return bool((same[1:] & same[:-1]).any())
+
+
 def surprising(toxic: int, clean: int, share: float) -> float:
     """The negative logarithm of a bound (Chernoff) on the chance that so many of
     these occurrences are toxic by accident, where `share` of all are."""
@@ -360,6 +382,11 @@ class ToxicityModel:
     base: float
     settings: Settings
 
+    @cached_property
+    def openings(self) -> set[str]:
+        """The first three letters of all features: what most words do not have."""
+        return {f.removesuffix("-")[:3] for f in self.toxic}
+
     def evidence(self, words: tuple[str, ...]) -> tuple[tuple[str, float], ...]:
         """The toxic ones of some words, with their probabilities."""
         found = []
@@ -371,12 +398,16 @@ class ToxicityModel:
 
     def score(self, text: str, cache: dict[str, tuple[tuple[str, float], ...]]) -> float:
         """Noisy or over the distinct restored words of a text."""
-        tokens = text.lower().split()
+        lowered = text.lower()
+        tokens = lowered.split()
         toxic: dict[str, float] = {}
-        alone = False
+        alone, tripled, openings = False, _has_triple(lowered), self.openings
         for token in set(tokens):
             alone = alone or len(token) == 1
-            found = _kept(cache, token, lambda t: self.evidence(read_token(t, self.letters)))
+            if token.isalpha() and not (tripled and TRIPLE.search(token)):
+                found = self.evidence((token,)) if token[:3] in openings else None
+            else:
+                found = _kept(cache, token, lambda t: self.evidence(read_token(t, self.letters)))
             if found:
                 toxic.update(found)
         if alone:

@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -140,16 +141,30 @@ def best_reading(token, model):
 
 def test_viterbi_against_all_paths():
     rng = random.Random(9)
-    words = toxicity.Counter(clean_text(rng, 400).strip(".").split())
-    model = toxicity.LetterModel(toxicity._trigrams(words))
+    model = toxicity.LetterModel(toxicity.trigrams(clean_text(rng, 400)))
     for token in ("h0u5e", "gr33n", "b!rd", "t4bl3", "st0n3", "r.i.v.e.r", "1d34", "ooover", "$mall", "é1é"):
         found = toxicity.viterbi(token, model)
         assert best_reading(token, model)[1] == found
     assert toxicity.viterbi("h0u5e", model) == "house" and toxicity.viterbi("r.i.v.e.r", model) == "river"
 
 
+def slow_trigrams(text):
+    counts = np.zeros(toxicity.KINDS**3, int)
+    for run in re.findall(r"[^\W\d_]+", text.lower()):
+        a = b = toxicity.EDGE
+        for c in [*map(toxicity.kind, run), toxicity.EDGE]:
+            counts[(a * toxicity.KINDS + b) * toxicity.KINDS + c] += 1
+            a, b = b, c
+    return counts
+
+
+@pytest.mark.parametrize("text", [t or "" for t in ODD] + ["ab", " ab", "a", "a1b ,c-dé", "ab ab\n\nc"])
+def test_trigrams_by_hand(text):
+    assert (toxicity.trigrams(text) == slow_trigrams(text)).all()
+
+
 def test_letter_counts_cover_all_documents(spark):
-    found = toxicity.letter_counts(docs(spark, [(1, "ab ab"), (2, "AB c1"), (3, None)]))
-    edge, k = toxicity.EDGE, toxicity.KINDS
-    got = {r["gram"]: r["n"] for r in found.collect()}
-    assert got == {(edge * k + edge) * k: 3, edge * k * k + 1: 3, k + edge: 3} or sum(got.values()) == 9
+    texts = ["ab ab", "AB c1", None, "zé " * 400]
+    found = toxicity.letter_counts(docs(spark, list(enumerate(texts))))
+    want = sum(slow_trigrams(t or "") for t in texts)
+    assert {r["gram"]: r["n"] for r in found.collect()} == {k: n for k, n in enumerate(want) if n}
