@@ -138,8 +138,8 @@ def _place(value: Column, cuts: list) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """Rows of `doc_id, text, fingerprint` with `next_text, next_fingerprint`: those of
-    the row that follows by ascending id; the first follows the last.
+    """Rows of `doc_id, text` with `fingerprint`, and `next_text, next_fingerprint` of the
+    row that follows by ascending id; the first follows the last.
 
     Rows are dealt into ranges of ids by quantiles, one window per range, so no task
     orders more than its range; the first row of the next range is lent to each range.
@@ -178,6 +178,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     return (
         dealt.withColumn("lent", F.lit(False))
         .unionByName(lent)
+        # after the few lent rows are found, and once for all others
+        .withColumn("fingerprint", fingerprint(F.col("text")))
         .withColumns(
             {
                 "next_text": F.lead("text").over(window),
@@ -198,7 +200,7 @@ def compare_with_edit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     gives no rows.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
-    printed = with_next(rows.withColumn("fingerprint", fingerprint(F.col("text"))))
+    printed = with_next(rows)
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = printed.withColumn("n_chars", F.length("text").cast("long")).withColumn(
         "edited",
