@@ -3,9 +3,11 @@
 A page is read into text nodes with their root-to-leaf tag paths. Per path, text
 length and punctuation are summed and divided by the number of its nodes; both
 ratios are smoothed along the page's order of paths, fused, and paths below a
-threshold drop out. The element that holds what the remaining paths select is the
-article; its blocks are returned whole, short ones included. Elements that announce
-themselves as page furniture, by name, role or class, take no part.
+threshold drop out. The element that holds most of what the remaining paths select is
+the article, an `article` or `main` if one holds that much; its branches without any
+selected text or path drop out, but for headings, and its other blocks are returned whole,
+short ones included. Elements that announce themselves as page furniture, by name,
+role or class, take no part.
 """
 
 from __future__ import annotations
@@ -258,9 +260,11 @@ def main_text(page: str, options: Options = OPTIONS) -> str:
     mean = sum(s * n for s, n in sized) / sum(n for _, n in sized)
     least = options.threshold * mean
     total = 0
-    for _, nodes in blocks:
+    selected = set()
+    for holder, nodes in blocks:
         chosen = sum(len(t) for e, t in nodes if t.strip() and scores[e.path] >= least)
         if chosen:
+            selected.add(holder.path)
             total += chosen
             element = nodes[0][0]
             while element:
@@ -272,27 +276,36 @@ def main_text(page: str, options: Options = OPTIONS) -> str:
             yield element
             element = element.parent
 
-    named = [next((e for e in ancestors(h) if e.tag in ("article", "main")), None) for h, _ in blocks]
-    if any(e is not None and e.selected for e in named):
-        kept = [k for k, e in enumerate(named) if e is not None]
-    else:
-        article = None
-        for holder, _ in blocks:
-            for e in ancestors(holder):
-                if e.selected >= options.held * total and (article is None or e.depth > article.depth):
-                    article = e
-        if article is not None and article.tag in ("p", *HEADINGS, "li", "td", "blockquote"):
-            article = article.parent
-        whole = article.tag not in ("", "html", "body")
-        kept = []
-        for k, (holder, _) in enumerate(blocks):
-            chain = list(ancestors(holder))
-            if article not in chain:
-                continue
-            # in a page's body only parts that hold selected text are the article
-            branch = chain[chain.index(article) - 1] if holder is not article else None
-            if whole or branch is None or branch.selected or branch.tag in HEADINGS:
-                kept.append(k)
+    core = None
+    for holder, _ in blocks:
+        for e in ancestors(holder):
+            if e.selected >= options.held * total and (core is None or e.depth > core.depth):
+                core = e
+    if core.tag in ("p", *HEADINGS, "li", "td", "blockquote"):
+        core = core.parent
+    # whatever holds the core holds most of the selected text, too
+    article = next((e for e in ancestors(core) if e.tag in ("article", "main")), core)
+    spine = []
+    for e in ancestors(core):
+        spine.append(e)
+        if e is article:
+            break
+    branches = []
+    for holder, _ in blocks:
+        branch, above = None, holder
+        while above and above not in spine:
+            branch, above = above, above.parent
+        branches.append((above is not None, branch))
+    plain = {b for (_, b), (h, _) in zip(branches, blocks, strict=True) if b and h.tag not in HEADINGS}
+    kept = []
+    for k, (inside, branch) in enumerate(branches):
+        if not inside:
+            continue
+        # only parts that hold selected text are the article, blocks on the same path as
+        # a selected one (a short `p` whose words stand in a `b`), and headings
+        titled = blocks[k][0].tag in HEADINGS and (branch not in plain or branch.tag in ("header", "hgroup"))
+        if branch is None or branch.selected or blocks[k][0].path in selected or titled:
+            kept.append(k)
     joined = (" ".join("".join(t for _, t in blocks[k][1]).split()) for k in kept)
     return "\n\n".join(b for b in joined if b)
 

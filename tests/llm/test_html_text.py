@@ -54,6 +54,35 @@ def test_names_of_layout_are_no_furniture():
     assert main_text(side + "<div>" + text + "</div>") == "The text, itself. And some more of it, here."
 
 
+LONG = "Long text of the page, with marks. And more of it, sentence by sentence, until it ends. "
+
+
+def test_selected_text_outside_of_teasers():
+    teasers = "<article><h3>Other</h3><p>Short.</p></article>" * 3
+    page = f"<body><div id=content><h1>Head</h1><p>{LONG * 3}</p><p>{LONG}</p></div><section>{teasers}</section></body>"
+    assert main_text(page) == f"Head\n\n{(LONG * 3).strip()}\n\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_unselected_branches_of_an_article_drop_out(tag):
+    rest = "<div><h4>By</h4><i>A. Writer</i></div><ul><li><a>Home</a><li><a>News</a><li><a>More</a></ul>"
+    text = f"<p>{LONG * 2}</p><p>{LONG}</p><p>Short.<b>Note</b></p>"
+    want = f"Head\n\n{(LONG * 2).strip()}\n\n{LONG.strip()}\n\nShort.Note"
+    title = "<header><div><h1>Head</h1></div></header>"
+    for inside in (title + text + rest, f"{title}<div>{text}</div>{rest}", f"{title}<div>{text}{rest}</div>"):
+        assert main_text(f"<body><{tag}>{inside}</{tag}></body>") == want
+
+
+def test_short_paragraphs_of_other_inline_paths_stay():
+    page = f"<article><h1>Head</h1><p><b>Lead.</b></p>{f'<p>{LONG * 3}</p>' * 5}</article>"
+    assert main_text(page).split("\n\n")[:2] == ["Head", "Lead."]
+
+
+def test_articles_of_one_main_stay():
+    page = f"<main><ul><li>Up</ul><article><p>{LONG}</p></article><article><p>{LONG}</p></article></main>"
+    assert main_text(page) == f"{LONG.strip()}\n\n{LONG.strip()}"
+
+
 def test_path_scores_prefer_text_with_punctuation():
     scores = path_scores(_blocks("<div><p>Some text, with marks, and more.</p><b>x</b><i>y</i><u>z</u></div>"), OPTIONS)
     assert max(scores, key=scores.get).endswith("p")
