@@ -51,8 +51,10 @@ SIGNS = "".join(map(re.escape, READINGS))
 INSIDE = "".join(map(re.escape, sorted(FILLERS)))
 #: A letter with a sign beside it, or a filler between letters.
 DISGUISED = re.compile(rf"[^\W\d_][{SIGNS}]|[{SIGNS}][^\W\d_]|[^\W\d_][{INSIDE}]+[^\W\d_]")
-#: Mail and web addresses are no words.
-ADDRESS = re.compile(r"@[^@]*\.|://|^www\.")
+#: Mail and web addresses are no words: a whole mail shape, outer punctuation taken
+#: off, with letters after its last full stop.
+ADDRESS = re.compile(r"[^@]+@[^@.]+(?:\.[^@.]+)*\.[^\W\d_]{2,}|.*://.*|www\..*", re.S)
+OUTER = ".,;:!?\"'()[]{}<>|#*$%&-_=+/\\"
 #: Tokens longer than this are no disguised words: addresses, codes, paths.
 LONGEST = 40
 
@@ -190,9 +192,9 @@ def read_token(token: str, model: LetterModel) -> tuple[str, ...]:
     """The words a lower-case token stands for, punctuation taken off."""
     if token.isalpha() and not TRIPLE.search(token):
         return (token,)
-    if ADDRESS.search(token):
+    bare = token.strip(OUTER)
+    if ADDRESS.fullmatch(bare):
         return ()
-    bare = token.strip(".,;:!?\"'()[]{}<>|#*$%&-_=+/\\")
     if PLAIN.fullmatch(bare) and not TRIPLE.search(bare):
         # what was taken off may belong to the word: `$cum`
         if token[0] in READINGS and len(token) <= LONGEST:

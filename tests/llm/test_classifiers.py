@@ -123,6 +123,15 @@ def test_disguised_words_are_restored_and_scored(spark, tables):
     assert model.score("stone river a.b@c.de 192.168.0.1 http://zornwald.x 12:30", {}) < toxicity.TOXIC_FROM
 
 
+def test_words_with_an_at_sign_are_no_addresses(spark, tables):
+    table, labels, _ = tables
+    model = toxicity.fit(table, labels)
+    for token in ("z0rnw@ld.", "zornw@ld...", "z0rnw@ld", "(z0rnw@ld.)", "z0rnw@l.d", "z0rnw@ld.,"):
+        assert model.score(f"stone river {token}", {}) >= toxicity.TOXIC_FROM, token
+    for token in ("zornwald@stone.de", "<zornwald@stone.co.uk>,", "http://zornwald.x", "(www.zornwald.x)"):
+        assert toxicity.read_token(token, model.letters) == (), token
+
+
 def best_reading(token, model):
     """All paths through a lattice."""
     paths = [("", 0.0)]
