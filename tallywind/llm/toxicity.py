@@ -47,6 +47,9 @@ REST, EDGE, KINDS = 26, 27, 28
 
 PLAIN = re.compile(r"[^\W\d_]+")
 TRIPLE = re.compile(r"([^\W\d_])\1\1")
+DOUBLE_LETTER = re.compile(r"([^\W\d_])\1")
+REPEATED = re.compile(r"(.)\1+", re.S)
+STRETCHED = re.compile(r"(.)\1{3,}", re.S)
 SIGNS = "".join(map(re.escape, READINGS))
 INSIDE = "".join(map(re.escape, sorted(FILLERS)))
 #: A letter with a sign beside it, or a filler between letters.
@@ -55,7 +58,7 @@ DISGUISED = re.compile(rf"[^\W\d_][{SIGNS}]|[{SIGNS}][^\W\d_]|[^\W\d_][{INSIDE}]
 #: off, with letters after its last full stop.
 ADDRESS = re.compile(r"[^@]+@[^@.]+(?:\.[^@.]+)*\.[^\W\d_]{2,}|.*://.*|www\..*", re.S)
 OUTER = ".,;:!?\"'()[]{}<>|#*$%&-_=+/\\"
-#: Tokens longer than this are no disguised words: addresses, codes, paths.
+#: In tokens longer than this a sign counts three times in a row at most.
 LONGEST = 40
 
 
@@ -168,40 +171,57 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return found
 
 
-def viterbi(token: str, model: LetterModel) -> str:
-    """The likeliest reading of a lower-case token."""
+def viterbi(token: str, model: LetterModel, breaks: frozenset[int] = frozenset()) -> str:
+    """The likeliest reading of a lower-case token; before the characters numbered in
+    `breaks` a word may end and another begin, with a blank in the reading."""
     cost = model.cost
-    states: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
-    for readings in lattice(token):
-        following: dict[tuple[int, int], tuple[float, str]] = {}
+    # a text is its last letter and the text before it, so that long tokens cost no square
+    states: dict[tuple[int, int], tuple[float, tuple]] = {(EDGE, EDGE): (0.0, ())}
+    for k, readings in enumerate(lattice(token)):
+        if k in breaks:
+            ended = [(paid + cost[a][b][EDGE], text) for (a, b), (paid, text) in states.items() if b != EDGE]
+            if ended:
+                paid, text = min(ended, key=lambda e: e[0])
+                if (EDGE, EDGE) not in states or paid < states[EDGE, EDGE][0]:
+                    states[EDGE, EDGE] = (paid, (text, " "))
+        following: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (paid, text) in states.items():
             for reading, price in readings:
                 if reading:
                     c = kind(reading)
-                    state, total, longer = (b, c), paid + price + cost[a][b][c], text + reading
+                    state, total, longer = (b, c), paid + price + cost[a][b][c], (text, reading)
                 else:
                     state, total, longer = (a, b), paid + price, text
                 best = following.get(state)
-                if best is None or (total, longer) < best:
+                if best is None or total < best[0]:
                     following[state] = (total, longer)
         states = following
-    return min((paid + cost[a][b][EDGE], text) for (a, b), (paid, text) in states.items())[1]
+    text = min(((paid + cost[a][b][EDGE], text) for (a, b), (paid, text) in states.items()), key=lambda e: e[0])[1]
+    letters = []
+    while text:
+        text, letter = text
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 def read_token(token: str, model: LetterModel) -> tuple[str, ...]:
     """The words a lower-case token stands for, punctuation taken off."""
-    if token.isalpha() and not TRIPLE.search(token):
+    if token.isalpha() and not DOUBLE_LETTER.search(token):
         return (token,)
     bare = token.strip(OUTER)
     if ADDRESS.fullmatch(bare):
         return ()
+    if len(token) > LONGEST:
+        token, bare = (STRETCHED.sub(r"\1\1\1", t) for t in (token, bare))
     if PLAIN.fullmatch(bare) and not TRIPLE.search(bare):
+        words = [bare]
+        if DOUBLE_LETTER.search(bare):
+            words.append(viterbi(bare, model))
         # what was taken off may belong to the word: `$cum`
-        if token[0] in READINGS and len(token) <= LONGEST:
-            return bare, viterbi(token, model)
-        return (bare,)
-    suspicious = DISGUISED.search(token) or TRIPLE.search(token)
-    if suspicious and len(token) <= LONGEST:
+        if token[0] in READINGS:
+            words.append(viterbi(token, model))
+        return tuple(dict.fromkeys(words))
+    if DISGUISED.search(token) or TRIPLE.search(token):
         return (viterbi(token, model), *(w for w in PLAIN.findall(token) if len(w) > 1))
     return tuple(PLAIN.findall(token))
 
@@ -216,26 +236,34 @@ def _kept(cache: dict, key: str, make):
     return found
 
 
-def spaced_words(tokens: list[str]) -> list[str]:
-    """Words spelt out as three or more single letters or signs in a row."""
+def spaced_runs(tokens: list[str]) -> list[str]:
+    """Three or more pieces in a row of one or two letters or signs, with blanks between:
+    words may be spelt out in them."""
     found, run = [], []
     for token in [*tokens, ""]:
-        if len(token) == 1 and (token.isalpha() or token in READINGS):
+        if 0 < len(token) < 3 and all(c.isalpha() or c in READINGS for c in token):
             run.append(token)
         else:
             if len(run) >= 3:
-                found.append("".join(run))
+                found.append(" ".join(run))
             run = []
     return found
 
 
+def spaced_words(run: str, model: LetterModel) -> tuple[str, ...]:
+    """The words of a spaced run: between its pieces a word goes on or ends."""
+    pieces = run.split(" ")
+    ends = np.cumsum([len(p) for p in pieces])[:-1]
+    return tuple(viterbi("".join(pieces), model, frozenset(ends.tolist())).split())
+
+
 def restored(text: str, model: LetterModel, cache: dict[str, tuple[str, ...]]) -> list[str]:
     """The lower-case words of a text as read through its disguises, in order, and
     then those that were spelt out letter by letter."""
     tokens = text.lower().split()
     words = [w for t in tokens for w in _kept(cache, t, lambda t: read_token(t, model))]
-    for word in spaced_words(tokens):
-        words.extend(("", viterbi(word, model)))
+    for run in spaced_runs(tokens):
+        words.extend(("", *_kept(cache, run, lambda r: spaced_words(r, model))))
     return words
 
 
@@ -357,13 +385,6 @@ def chosen_features(
     return found
 
 
-def _has_triple(text: str) -> bool:
-    """Whether a character stands three times in a row."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    same = points[1:] == points[:-1]
-    return bool((same[1:] & same[:-1]).any())
-
-
 def surprising(toxic: int, clean: int, share: float) -> float:
     """The negative logarithm of a bound (Chernoff) on the chance that so many of
     these occurrences are toxic by accident, where `share` of all are."""
@@ -389,6 +410,12 @@ class ToxicityModel:
         """The first three letters of all features: what most words do not have."""
         return {f.removesuffix("-")[:3] for f in self.toxic}
 
+    @cached_property
+    def squeezed(self) -> set[str]:
+        """The first two letters of all features, or one, repeated letters squeezed:
+        only words that begin like this have readings of doubled letters that count."""
+        return {REPEATED.sub(r"\1", f.removesuffix("-"))[:2] for f in self.toxic}
+
     def evidence(self, words: tuple[str, ...]) -> tuple[tuple[str, float], ...]:
         """The toxic ones of some words, with their probabilities."""
         found = []
@@ -403,18 +430,20 @@ class ToxicityModel:
         lowered = text.lower()
         tokens = lowered.split()
         toxic: dict[str, float] = {}
-        alone, tripled, openings = False, _has_triple(lowered), self.openings
+        openings, squeezed = self.openings, self.squeezed
         for token in set(tokens):
-            alone = alone or len(token) == 1
-            if token.isalpha() and not (tripled and TRIPLE.search(token)):
-                found = self.evidence((token,)) if token[:3] in openings else None
-            else:
+            if not token.isalpha():
                 found = _kept(cache, token, lambda t: self.evidence(read_token(t, self.letters)))
+            else:
+                found = self.evidence((token,)) if token[:3] in openings else None
+                if DOUBLE_LETTER.search(token):
+                    opening = REPEATED.sub(r"\1", token)[:2]
+                    if opening in squeezed or opening[:1] in squeezed:
+                        found = _kept(cache, token, lambda t: self.evidence(read_token(t, self.letters)))
             if found:
                 toxic.update(found)
-        if alone:
-            for word in spaced_words(tokens):
-                toxic.update(self.evidence((viterbi(word, self.letters),)))
+        for run in spaced_runs(tokens):
+            toxic.update(_kept(cache, run, lambda r: self.evidence(spaced_words(r, self.letters))))
         clean = 1.0 - self.base
         for word in sorted(toxic):
             clean *= 1.0 - toxic[word]

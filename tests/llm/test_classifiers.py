@@ -132,6 +132,25 @@ def test_words_with_an_at_sign_are_no_addresses(spark, tables):
         assert toxicity.read_token(token, model.letters) == (), token
 
 
+def test_no_disguise_is_left_unread(spark, tables):
+    table, labels, _ = tables
+    model = toxicity.fit(table, labels)
+    for disguise in (
+        "such a z o r n w a l d",
+        "z o r n w a l d g r u m b l e f i s h",
+        "zo rn wa ld",
+        "z" + "o" * 60 + "rnwald",
+        "---".join("grumblefish") + "!",
+        "zornwwald",
+        "zornwwald!",
+    ):
+        assert model.score(f"stone {disguise} river", {}) >= toxicity.TOXIC_FROM, disguise
+    found = toxicity.restored("stone z o r n w a l d g r u m b l e f i s h river", model.letters, {})
+    assert {"zornwald", "grumblefish"} <= set(found)
+    assert toxicity.read_token("window", model.letters) == ("window",)
+    assert len(toxicity.viterbi("a1" * 50_000, model.letters)) >= 50_000
+
+
 def best_reading(token, model):
     """All paths through a lattice."""
     paths = [("", 0.0)]
