@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallywind.llm import (
     bpe,
+    conversations,
     html_text,
     merkle,
     mixing,
@@ -110,6 +111,11 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    original = table(spark, sf_dir, "conversations")
+    return conversations.inspect_and_repair(original, conversations.damage(original))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_html_text": op2_html_text,
@@ -121,6 +127,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_repetition": op10_repetition,
+    "op13_conversations": op13_conversations,
 }
 
 ORACLES = {
