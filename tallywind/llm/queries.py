@@ -18,6 +18,7 @@ from tallywind.llm import (
     simhash,
     toxicity,
     url_filter,
+    whitening,
 )
 from tallywind.llm.common import table
 
@@ -111,6 +112,10 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     original = table(spark, sf_dir, "conversations")
     return conversations.inspect_and_repair(original, conversations.damage(original))
@@ -127,6 +132,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_repetition": op10_repetition,
+    "op11_whitening": op11_whitening,
     "op13_conversations": op13_conversations,
 }
 

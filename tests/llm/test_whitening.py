@@ -1,0 +1,141 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from tallywind.llm import queries, whitening
+from tallywind.llm.whitening import eigenvectors, polar_factor
+
+VECTORS = T.StructType(
+    [
+        T.StructField("vec_id", T.LongType()),
+        T.StructField("embedding", T.ArrayType(T.FloatType())),
+        # names that the operator uses inside
+        T.StructField("x", T.StringType()),
+        T.StructField("vec", T.LongType()),
+        T.StructField("n", T.LongType()),
+    ]
+)
+RESULT = "vec_id component n deviation whitened explained identity_error".split()
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1, 2) for r in rows], VECTORS)
+
+
+def with_eigenvalues(values, seed=0):
+    size = len(values)
+    turn, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, size)))
+    return (turn * np.array(values, dtype=float)) @ turn.T
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [3.0],
+        [2, 1],
+        [5, 5, 5, 1, 1, 0, 0],
+        [0, 0, 0],
+        [4, 4, 4, 4],
+        list(2.0 ** -np.arange(40)),
+        [*(4 + 1e-6 * np.arange(10)), *np.ones(20)],
+        [1e10, 1, 0.5, 0.25],
+        [3, 2, 1],
+        [1, 1, 1, -1, -1, -1, 0],
+    ],
+)
+def test_eigenvectors(values):
+    a = with_eigenvalues(values)
+    found, vectors = eigenvectors(a, 32)
+    wanted = np.sort(np.array(values, dtype=float))[::-1][:32]
+    scale = max(np.abs(wanted).max(), 1e-300)
+    assert np.abs(found - wanted).max() < 1e-13 * scale
+    assert np.abs(a @ vectors - vectors * found).max() < 1e-13 * scale
+    assert np.abs(vectors.T @ vectors - np.eye(len(wanted))).max() < 1e-13
+
+
+def test_polar_factor_has_the_signs_of_the_eigenvalues():
+    values = np.array([4.0, 1, 1e-9, -1e-3, -2])
+    polar = polar_factor(with_eigenvalues(values))
+    assert np.abs(polar - with_eigenvalues(np.sign(values))).max() < 1e-6
+    assert np.abs(polar @ polar - np.eye(5)).max() < 1e-13
+
+
+def brute_force(vectors, components=32):
+    """The contract with whole numbers of any size and a library's eigenvectors."""
+    x = np.array([[math.floor(64 * c) + 1_000_000 for c in v] for v in vectors])
+    n, sums = len(x), x.sum(axis=0)
+    centred = x - sums / n
+    covariance = centred.T @ centred / n
+    values, turn = np.linalg.eigh(covariance)
+    values, turn = values[::-1][:components], turn[:, ::-1][:, :components]
+    deviation = [sum((n * int(c) - int(s)) ** 2 for c, s in zip(row, sums)) for row in x]
+    return n, deviation, centred @ turn / np.sqrt(values), values / np.trace(covariance)
+
+
+def check(df, ids, vectors):
+    n, deviation, white, explained = brute_force(vectors)
+    rows = df.collect()
+    assert df.columns == RESULT and len(rows) == white.size
+    place = {v: i for i, v in enumerate(ids)}
+    got = np.zeros(white.shape)
+    for r in rows:
+        i, k = place[r["vec_id"]], r["component"] - 1
+        got[i, k] = r["whitened"]
+        assert r["n"] == n and r["deviation"] == deviation[i]
+        assert r["explained"] == pytest.approx(explained[k], rel=1e-9)
+        assert r["identity_error"] < 1e-9
+    for k in range(white.shape[1]):
+        sign = np.sign(got[:, k] @ white[:, k])
+        assert np.abs(got[:, k] * sign - white[:, k]).max() < 1e-7
+
+
+def test_query_against_brute_force(spark, tables):
+    rows = queries.table(spark, tables, "embeddings").collect()
+    ids, vectors = [r["vec_id"] for r in rows], [r["embedding"] for r in rows]
+    check(queries.op11_whitening(spark, tables), ids, vectors)
+
+
+def test_odd_rows(spark):
+    dice = random.Random(3)
+    good = [(i, [dice.gauss(0, 1 + j) for j in range(4)]) for i in range(50)]
+    good = [(i, [float(np.float32(c)) for c in v]) for i, v in good]
+    bad = [
+        (90, None),
+        (91, []),
+        (92, [1.0, None, 2.0, 3.0]),
+        (93, [1.0, float("nan"), 2.0, 3.0]),
+        (94, [1.0, 2.0, float("-inf"), 3.0]),
+        (95, [1.0, 2.0]),
+    ]
+    check(whitening.whiten(frame(spark, good + bad)), *zip(*good))
+
+
+def test_repeated_rows_and_null_ids_are_rows(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [0.0, 3.0]), (2, [5.0, 1.0])]
+    got = whitening.whiten(frame(spark, rows)).collect()
+    assert len(got) == 8 and all(r["n"] == 4 for r in got)
+    assert sorted(str(r["vec_id"]) for r in got) == ["1"] * 4 + ["2"] * 2 + ["None"] * 2
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, [1.0, 2.0])], [(1, [2.0]), (2, [2.0])]])
+def test_nothing_to_whiten(spark, rows):
+    got = whitening.whiten(frame(spark, rows))
+    assert got.columns == RESULT and got.count() == 0
+
+
+def test_components_without_variance_are_left_out(spark):
+    rows = [(i, [float(i), 2.0 * i, 7.0]) for i in range(9)]
+    got = whitening.whiten(frame(spark, rows)).collect()
+    assert {r["component"] for r in got} == {1} and got[0]["explained"] == pytest.approx(1.0)
+
+
+def test_deviations_are_exact_or_fail():
+    x = np.array([[10**9, 5], [0, 7]])
+    sums = x.sum(axis=0)
+    exact = [sum((2 * int(c) - int(s)) ** 2 for c, s in zip(row, sums)) for row in x]
+    assert whitening._deviations(x, 2, sums).tolist() == exact
+    with pytest.raises(OverflowError):
+        whitening._deviations(x * 10**4, 2, sums * 10**4)
