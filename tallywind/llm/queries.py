@@ -12,6 +12,7 @@ from tallywind.llm import (
     html_text,
     merkle,
     mixing,
+    neighbours,
     pii,
     quality,
     repetition,
@@ -116,6 +117,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     original = table(spark, sf_dir, "conversations")
     return conversations.inspect_and_repair(original, conversations.damage(original))
@@ -133,6 +138,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_repetition": op10_repetition,
     "op11_whitening": op11_whitening,
+    "op12_neighbours": op12_neighbours,
     "op13_conversations": op13_conversations,
 }
 
