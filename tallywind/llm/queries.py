@@ -22,6 +22,7 @@ from tallywind.llm import (
     whitening,
 )
 from tallywind.llm.common import table
+from tallywind.llm.conversation_sql import SQL as CONVERSATION_SQL
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -211,4 +212,5 @@ select page_id, host, path, rule,
             when rule is not null or is_listed then 'block' else 'allow' end as verdict
 from ruled
 """,
+    "op13_conversations": CONVERSATION_SQL,
 }

@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 from pyspark.sql import types as T
 
@@ -236,6 +237,17 @@ def test_query_against_brute_force(spark, tables):
     assert results(got) == brute_force(rows)
 
 
+def test_sql_against_brute_force(tables):
+    rows = odd_rows() + [(100, t, None, None) for t in range(4)] + [(101, 1, "system", "Be.")]
+    database = duckdb.connect()
+    database.execute("create table conversations (conv_id long, turn long, role text, text text)")
+    database.executemany("insert into conversations values (?, ?, ?, ?)", rows)
+    found = database.execute(queries.ORACLES["op13_conversations"])
+    names = [column[0] for column in found.description]
+    got = {r[0]: dict(zip(names, r)) for r in found.fetchall()}
+    assert got == brute_force(rows)
+
+
 def test_a_long_conversation_in_small_blocks(spark):
     rows = [(9, t, *r[2:]) for t, r in enumerate(odd_rows(150))] + odd_rows(60)
     df = frame(spark, rows)
