@@ -34,12 +34,7 @@ from tallywind.sources.messages import (
     to_messages,
 )
 from tallywind.streaming.archive import start_archive
-from tallywind.streaming.results import (
-    read_changes,
-    read_results,
-    start_upsert,
-    write_changes,
-)
+from tallywind.streaming.results import read_results, start_upsert, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,9 +98,9 @@ def results_filter(spark, sf_dir):
 @register("results_stored")
 def results_stored(spark, sf_dir):
     """The same range of a stored table, where it prunes folders and row groups."""
-    log = new_folder(spark, "stored")
-    write_changes(views.results(spark, sf_dir), log, 0, 0)
-    current = current_range(spark, [log], AS_OF, 2880, "topic_3")
+    path = new_folder(spark, "stored")
+    upsert(spark, views.results(spark, sf_dir), path, "load", 0)
+    current = current_range(spark, [path], AS_OF, 2880, "topic_3")
     return _rounded(current.select(*WINDOWED_RESULT.names), "sentiment_score")
 
 
@@ -527,8 +522,8 @@ def _upserted(spark, sf_dir, width):
     windows = windowed_sentiment(
         views.scored_stream(spark, sf_dir), width, watermark=WATERMARK_BY_WIDTH[width]
     )
-    _finish(start_upsert(windows, f"{root}/log", f"{root}/checkpoint", available_now=True))
-    return _stored(spark, f"{root}/log")
+    _finish(start_upsert(windows, f"{root}/table", f"{root}/checkpoint", available_now=True))
+    return _stored(spark, f"{root}/table")
 
 
 @register("stream_upsert_5min")
@@ -549,8 +544,8 @@ def stream_archive(spark, sf_dir):
     return _lower_names(files.read_archive(spark, f"{root}/posts"))
 
 
-def _deliveries(spark, deliveries, width, watermark=None, **options):
-    """The log after a run per delivery, all from one checkpoint."""
+def _deliveries(spark, deliveries, width, watermark=None):
+    """The table after a run per delivery, all from one checkpoint."""
     root = new_folder(spark, "deliveries")
     for rows in deliveries:
         rows.write.mode("append").parquet(f"{root}/source")
@@ -558,20 +553,20 @@ def _deliveries(spark, deliveries, width, watermark=None, **options):
         windows = windowed_sentiment(
             arriving, width, watermark=watermark or WATERMARK_BY_WIDTH[width]
         )
-        _finish(
-            start_upsert(
-                windows, f"{root}/log", f"{root}/checkpoint", available_now=True, **options
-            )
-        )
-    return f"{root}/log"
+        _finish(start_upsert(windows, f"{root}/table", f"{root}/checkpoint", available_now=True))
+    return f"{root}/table"
+
+
+#: A watermark that lets rows of the whole time in.
+LENIENT = "60 days"
 
 
 def _interleaved(spark, sf_dir):
-    """Three deliveries that each have a third of every window's posts, and a
-    watermark that lets all of them in: most windows are updated twice."""
+    """Three deliveries that each have a third of every window's posts: most windows
+    are updated twice."""
     rows = views.scored(spark, sf_dir)
     third = F.col("id").cast("long") % 3
-    return [rows.filter(third == k) for k in range(3)], "60 days"
+    return [rows.filter(third == k) for k in range(3)]
 
 
 def _time(year, month, day):
@@ -581,31 +576,22 @@ def _time(year, month, day):
 @register("stream_restart")
 def stream_restart(spark, sf_dir):
     """Hourly windows that go on from kept state: each run adds to windows of the last."""
-    return _stored(spark, _deliveries(spark, *_between(_interleaved(spark, sf_dir), "1 hour")))
-
-
-def _between(deliveries, width):
-    return deliveries[0], width, deliveries[1]
+    return _stored(spark, _deliveries(spark, _interleaved(spark, sf_dir), "1 hour", LENIENT))
 
 
 @register("stream_updates")
 def stream_updates(spark, sf_dir):
-    """Daily windows with the number of versions the log has of each."""
-    log = _deliveries(
-        spark, *_between(_interleaved(spark, sf_dir), "1 day"), compact_every=None
-    )
-    key = ("window_start", "topic")
-    versions = read_changes(spark, log).groupBy(*key).agg(F.count("*").alias("versions"))
-    kept = [F.col(f"w.{name}") for name in WINDOWED_RESULT.names]
-    met = [F.col(f"w.{name}").eqNullSafe(F.col(f"v.{name}")) for name in key]
-    return _stored(spark, log).alias("w").join(versions.alias("v"), met).select(*kept, "versions")
+    """Daily windows with the number of batches that wrote each."""
+    path = _deliveries(spark, _interleaved(spark, sf_dir), "1 day", LENIENT)
+    kept = read_results(spark, path).withColumnRenamed("revision", "versions")
+    return _rounded(kept.drop("window_date"), "sentiment_score")
 
 
 @register("stream_compacted")
 def stream_compacted(spark, sf_dir):
-    """The same deliveries where the job compacts its log after every batch."""
-    log = _deliveries(spark, *_between(_interleaved(spark, sf_dir), "1 day"), compact_every=1)
-    return _stored(spark, log)
+    """The same table's files: a date that was written three times holds each key once."""
+    path = _deliveries(spark, _interleaved(spark, sf_dir), "1 day", LENIENT)
+    return _stored(spark, path)
 
 
 @register("stream_late_drop")

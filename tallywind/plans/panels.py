@@ -13,19 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallywind.operators import serving
 from tallywind.session import build_session, new_folder
-from tallywind.streaming.results import latest_results, read_changes
+from tallywind.streaming.results import read_results
 
 
 def current_range(
     spark: SparkSession, paths: list[str], as_of: datetime, minutes_back: int, topic: str | None
 ) -> DataFrame:
-    """The newest rows of the range. Only the date folders of the range are looked
-    into, and the range is applied to the change log before the newest rows are taken."""
+    """The stored rows of the range: date folders outside of it are not opened, and
+    row groups are skipped by the start of the window."""
     since = serving.range_start(as_of, minutes_back)
     if since.tzinfo is not None:
         since = since.astimezone(timezone.utc)
-    changes = read_changes(spark, *paths, since=since.date())
-    return latest_results(serving.in_range(changes, as_of, minutes_back, topic))
+    stored = read_results(spark, *paths, since=since.date())
+    return serving.in_range(stored, as_of, minutes_back, topic)
 
 
 def panels(results: DataFrame, minutes_back: int) -> dict[str, DataFrame]:
@@ -47,7 +47,7 @@ def main() -> None:
     args = parser.parse_args()
     spark = build_session("tallywind-panels")
     as_of = datetime.now(timezone.utc)
-    serving.topic_list(read_changes(spark, *args.results)).show(truncate=False)
+    serving.topic_list(read_results(spark, *args.results)).show(truncate=False)
     # Written once: the panels below read it some six times.
     path = new_folder(spark, "panel-range")
     current_range(spark, args.results, as_of, args.minutes_back, args.topic).write.parquet(path)

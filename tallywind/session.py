@@ -10,13 +10,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-# Settings every job needs: one time zone, runtime re-planning, and a state
-# store that keeps large key counts off the JVM heap.
+# Settings every job needs: one time zone, runtime re-planning, date folders listed
+# by some tasks instead of one each, and a state store that keeps large key counts
+# off the JVM heap.
 ENGINE_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -108,3 +110,14 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library made and no longer needs."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file that says something is done."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True).close()
+
+
+def marked(spark: SparkSession, path: str) -> bool:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)

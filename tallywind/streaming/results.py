@@ -1,24 +1,33 @@
 """The upsert sink of windowed results.
 
-A plain Parquet folder cannot be updated in place, so each micro-batch adds its
-changed rows to a change log and readers keep the newest row per key. The log is
-laid out by date first:
-
-    log/window_date=2024-05-01/version=7/level=0    rows a batch changed
-    log/window_date=2024-05-01/version=9/level=1    all rows of the date as of 9
-
-A version is run and batch number in one long. A replayed batch overwrites its own
-folders, which makes the sink idempotent. A lost checkpoint makes batch numbers start
-over; it then gets a higher run number, so an old log is neither overwritten nor
-allowed to win. Compaction adds the folder of level 1, which covers all versions up
-to its own: readers open it and what came later, of the dates they ask for.
+Results are a Parquet table with one row per window and topic, laid out by date. Files
+can't be changed in place, so a micro-batch writes the dates it touches anew:
+
+1. its changes are staged;
+2. with the stored rows of their dates, the newest per key, they are staged as these
+   dates' new contents, and marked ready;
+3. the staged contents overwrite the dates (dynamic partition overwrite);
+4. a marker commits the batch, and what was staged is removed.
+
+A batch that is replayed behind its marker is left alone. One that was cut off after it
+was marked ready goes on from what is staged: overwriting a date twice with the same
+contents changes nothing, and stored rows, some of which may be replaced or gone by then,
+are not read again. One cut off earlier has changed nothing.
+
+Either way the changes are computed: a stateful query keeps its state in the tasks that do.
+
+Markers belong to a checkpoint. A new one, whose batches are numbered from zero again,
+has markers of its own, and its rows replace those of the keys they have.
+
+One query writes a table. A reader that opens a date while it is replaced can miss a file
+and has to try again; where that matters, keep the results in a table format with
+transactions and use its MERGE here.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
-from dataclasses import dataclass
+import math
+import uuid
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -29,200 +38,161 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallywind.functions.times import utc_date
 from tallywind.schemas import WINDOWED_RESULT
+from tallywind.session import mark, marked, remove_folder
+
+_KEY = ("window_date", "window_start", "window_end", "topic")
+_VALUES = [n for n in WINDOWED_RESULT.names if n not in _KEY]
 
-_KEY = ("window_start", "window_end", "topic")
-_LAYOUT = T.StructType(
+#: A stored row also has the number of batches that wrote it, and its date.
+STORED = T.StructType(
     [
+        *WINDOWED_RESULT.fields,
+        T.StructField("revision", T.LongType()),
         T.StructField("window_date", T.DateType()),
-        T.StructField("version", T.LongType()),
-        T.StructField("level", T.IntegerType()),
     ]
 )
-_LOG = T.StructType(WINDOWED_RESULT.fields + _LAYOUT.fields)
-# Both parts of a version fit one long: 2**23 runs of 2**40 batches each.
-_BATCH_BITS = 40
-ROWS_PER_FILE = 250_000
 
 
-def version_of(run_id: int, batch_id: int) -> int:
-    return (run_id << _BATCH_BITS) + batch_id
-
-
-@dataclass(frozen=True)
-class Part:
-    """One folder of the log."""
-
-    path: str
-    day: date
-    version: int
-    level: int
-
-
-_PART = re.compile(r"/window_date=(\d{4}-\d\d-\d\d)/version=(\d+)/level=([01])$")
-
-
-def parts_of(spark: SparkSession, log: str, since: date | None = None) -> list[Part]:
-    """The folders of a log, of the dates from `since` on. Dates are listed first,
-    and only those asked for are looked into."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    root = path(log)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(root):
-        return []
-    days = [s.getPath() for s in files.listStatus(root) if s.getPath().getName().startswith("window_date=")]
-    found = []
-    for day in days:
-        if since is not None and day.getName().removeprefix("window_date=") < since.isoformat():
-            continue
-        for status in files.globStatus(path(day, "version=*/level=*")):
-            name = status.getPath().toString()
-            if match := _PART.search(name):
-                found.append(
-                    Part(name, date.fromisoformat(match[1]), int(match[2]), int(match[3]))
-                )
-    return found
-
-
-def needed(parts: Iterable[Part]) -> list[Part]:
-    """The parts a reader must open: for each date the newest compacted one, and the
-    batches it does not cover."""
-    parts = list(parts)
-    covered: dict[date, int] = {}
-    for part in parts:
-        if part.level == 1:
-            covered[part.day] = max(part.version, covered.get(part.day, -1))
-    return [
-        p
-        for p in parts
-        if p.day not in covered
-        or p.version > covered[p.day]
-        or (p.level == 1 and p.version == covered[p.day])
-    ]
-
-
-def _read_parts(spark: SparkSession, log: str, parts: list[Part]) -> DataFrame:
-    if not parts:
-        return spark.createDataFrame([], _LOG)
-    reader = spark.read.schema(_LOG).option("basePath", log)
-    return reader.parquet(*sorted(p.path for p in parts))
+#: Rows of a file, and files that a task writes one after the other.
+ROWS_PER_FILE = 250_000
+FILES_PER_TASK = 50
 
 
-def run_number(spark: SparkSession, log: str, checkpoint: str) -> int:
-    """The run number of a checkpoint: kept beside its own files, and above all
-    numbers of the log where the checkpoint is new."""
-    marker = f"{checkpoint}/run_number"
-    schema = T.StructType([T.StructField("run_id", T.LongType())])
+def _read(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """A folder of Parquet files; no rows where there is none yet."""
     try:
-        row = spark.read.schema(schema).parquet(marker).first()
+        return spark.read.schema(schema).parquet(folder)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        row = None
-    if row is not None:
-        return row["run_id"]
-    versions = [part.version for part in parts_of(spark, log)]
-    number = (max(versions) >> _BATCH_BITS) + 1 if versions else 0
-    row = spark.range(number, number + 1).toDF("run_id").coalesce(1)
-    row.write.mode("overwrite").parquet(marker)
-    return number
-
-
-def _write(rows: DataFrame, log: str, version: int, level: int, rows_per_file: int) -> None:
-    """Write rows of a version. How many tasks write a date follows from its rows: one
-    per `rows_per_file`, so a batch of one date is as many tasks as its size needs
-    and a small one is one file. The counts are a row per date of the batch."""
-    kept = rows.persist()
-    try:
-        counts = {
-            r["window_date"]: r["n"]
-            for r in kept.groupBy("window_date").agg(F.count("*").alias("n")).collect()
-        }
-        if not counts:
-            return
-        files, first, place = 0, F.lit(0), F.lit(0)
-        for day, count in sorted(counts.items(), key=str):
-            own = -(-count // rows_per_file)
-            here = F.col("window_date").eqNullSafe(F.lit(day).cast("date"))
-            first = F.when(here, files).otherwise(first)
-            place = F.when(here, F.pmod(F.xxhash64("window_start", "topic"), F.lit(own))).otherwise(place)
-            files += own
-        dealt = kept.withColumns({"version": F.lit(version), "level": F.lit(level)}).repartitionById(
-            files, (first + place).cast("int")
-        )
-        writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*_LAYOUT.names).parquet(log)
-    finally:
-        kept.unpersist()
-
-
-def write_changes(
-    changes: DataFrame,
-    log: str,
-    run_id: int,
-    batch_id: int,
-    rows_per_file: int = ROWS_PER_FILE,
-) -> None:
-    """Write the changed rows of one batch, about `rows_per_file` to a file."""
+        return spark.createDataFrame([], schema)
+
+
+def _rows(path: str) -> str:
+    return f"{path}/rows"
+
+
+def _staged(path: str, sink: str, batch_id: int) -> str:
+    return f"{path}/staged/{sink}-{batch_id}"
+
+
+def _committed(path: str, sink: str, batch_id: int) -> str:
+    return f"{path}/commits/{sink}-{batch_id}"
+
+
+def _consume(changes: DataFrame) -> None:
+    """Compute the rows of a replayed batch, so that its state is kept, and drop them."""
+    changes.write.format("noop").mode("overwrite").save()
+
+
+def sink_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name under which a checkpoint's batches are marked, kept beside its files."""
+    folder = f"{checkpoint}/sink"
+    named = _read(spark, folder, T.StructType([T.StructField("name", T.StringType())])).first()
+    if named is not None:
+        return named["name"]
+    name = uuid.uuid4().hex
+    spark.range(1).select(F.lit(name).alias("name")).write.mode("overwrite").parquet(folder)
+    return name
+
+
+def stage(
+    spark: SparkSession, changes: DataFrame, path: str, sink: str, batch_id: int
+) -> str | None:
+    """Stage the new contents of the dates that the changes touch, and return their
+    folder; None without changes. The changes are computed once. Their dates, which are
+    collected, are as many as a batch has; only their folders are read."""
+    folder = _staged(path, sink, batch_id)
+    if marked(spark, f"{folder}/ready"):
+        _consume(changes)
+        return folder
     typed = changes.select(
         *(F.col(f.name).cast(f.dataType).alias(f.name) for f in WINDOWED_RESULT.fields),
+        F.lit(1).cast("long").alias("revision"),
         utc_date("window_start").alias("window_date"),
     )
-    _write(typed, log, version_of(run_id, batch_id), 0, rows_per_file)
-
-
-def compact(
-    spark: SparkSession, log: str, version: int | None = None, rows_per_file: int = ROWS_PER_FILE
-) -> int:
-    """Write the current rows of every date that has several uncovered parts as one
-    compacted part of the given version (by default the newest of the log), and
-    remove what the last compaction had covered before: readers that have listed
-    those folders have had since then to finish. Returns the number of dates written.
-
-    Call it while no batch is being written, as the sink does.
-    """
-    parts = parts_of(spark, log)
-    if not parts:
-        return 0
-    version = max(p.version for p in parts) if version is None else version
-    upto = [p for p in parts if p.version <= version]
-    open_parts = needed(upto)
-    by_day: dict[date, list[Part]] = {}
-    for part in open_parts:
-        by_day.setdefault(part.day, []).append(part)
-    merged = {day: own for day, own in by_day.items() if len(own) > 1}
-    stale = [p for p in upto if p not in open_parts]
-    if merged:
-        chosen = [p for own in merged.values() for p in own]
-        newest = latest_results(_read_parts(spark, log, chosen))
-        _write(newest.drop("version", "level"), log, version, 1, rows_per_file)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(log).getFileSystem(spark._jsc.hadoopConfiguration())
-    for part in stale:
-        files.delete(path(part.path), True)
-    return len(merged)
+    typed.write.mode("overwrite").parquet(f"{folder}/changes")
+    changed = spark.read.schema(STORED).parquet(f"{folder}/changes")
+    days = [row["window_date"] for row in changed.select("window_date").distinct().collect()]
+    if not days:
+        remove_folder(spark, folder)
+        return None
+    stored = read_results(spark, path).where(F.col("window_date").isin(days))
+    # Fixed-width values and ranks: a hash aggregate, combined before its shuffle.
+    both = stored.withColumn("rank", F.lit(0)).unionByName(changed.withColumn("rank", F.lit(1)))
+    newest = both.groupBy(*_KEY).agg(
+        *(F.max_by(name, "rank").alias(name) for name in _VALUES),
+        F.sum("revision").alias("revision"),
+    )
+    newest.select(*STORED.names).write.mode("overwrite").parquet(f"{folder}/contents")
+    mark(spark, f"{folder}/ready")
+    return folder
+
+
+def publish(
+    spark: SparkSession, folder: str, path: str, rows_per_file: int = ROWS_PER_FILE
+) -> None:
+    """Overwrite dates with their staged contents. A large date is cut into parts of
+    about `rows_per_file` rows, for each of which there is a task; small dates share
+    tasks, some FILES_PER_TASK each. The parts per date are a small frame that is joined;
+    nothing in the plan grows with the dates."""
+    contents = spark.read.schema(STORED).parquet(f"{folder}/contents")
+    parts = contents.groupBy("window_date").agg(
+        F.ceil(F.count("*") / F.lit(rows_per_file)).alias("parts")
+    )
+    load = F.when(F.col("parts") > 1, F.col("parts")).otherwise(1 / FILES_PER_TASK)
+    tasks = max(1, math.ceil(parts.agg(F.sum(load)).first()[0]))
+    part = F.pmod(F.xxhash64("window_start", "topic"), F.col("parts"))
+    dealt = contents.join(F.broadcast(parts), "window_date").repartition(
+        tasks, "window_date", part
+    )
+    writer = dealt.select(*STORED.names).write.mode("overwrite")
+    writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("window_date").parquet(_rows(path))
+
+
+def commit(spark: SparkSession, path: str, sink: str, batch_id: int) -> None:
+    """Mark a batch as done and remove what it staged. Only the last batch can be
+    replayed, so older markers go."""
+    mark(spark, _committed(path, sink, batch_id))
+    remove_folder(spark, _staged(path, sink, batch_id))
+    remove_folder(spark, _committed(path, sink, batch_id - 2))
+
+
+def upsert(
+    spark: SparkSession,
+    changes: DataFrame,
+    path: str,
+    sink: str,
+    batch_id: int,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> None:
+    """Bring the changes of a batch into the table, once however often it is called."""
+    if marked(spark, _committed(path, sink, batch_id)):
+        _consume(changes)
+        return
+    folder = stage(spark, changes, path, sink, batch_id)
+    if folder is not None:
+        publish(spark, folder, path, rows_per_file)
+        commit(spark, path, sink, batch_id)
 
 
 def start_upsert(
     windowed: DataFrame,
-    log: str,
+    path: str,
     checkpoint: str,
     *,
     available_now: bool = False,
     trigger: str | None = None,
-    rows_per_file: int = ROWS_PER_FILE,
-    compact_every: int | None = 100,
 ) -> StreamingQuery:
-    """Keep `log` up to date with a windowed stream (update mode). `trigger` is the
-    time between batches; after every `compact_every` batches the log is compacted."""
-    run_id = run_number(windowed.sparkSession, log, checkpoint)
-
-    def upsert(changes: DataFrame, batch_id: int) -> None:
-        write_changes(changes, log, run_id, batch_id, rows_per_file)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            compact(changes.sparkSession, log, version_of(run_id, batch_id), rows_per_file)
-
-    writer = windowed.writeStream.outputMode("update").foreachBatch(upsert)
-    writer = writer.option("checkpointLocation", checkpoint)
+    """Keep a table up to date with a windowed stream (update mode). `trigger` is the
+    time between batches; a batch costs its dates' rows, so let it gather some."""
+    # The session a batch arrives in has runtime re-planning switched off.
+    spark = windowed.sparkSession
+    sink = sink_of(spark, checkpoint)
+    writer = windowed.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    writer = writer.foreachBatch(lambda rows, batch: upsert(spark, rows, path, sink, batch))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif trigger:
@@ -230,35 +200,11 @@ def start_upsert(
     return writer.start()
 
 
-def read_changes(spark: SparkSession, *logs: str, since: date | None = None) -> DataFrame:
-    """The rows of change logs that count: compacted ones and later batches, of the
-    dates from `since` on; nothing where a log does not exist yet."""
-    rows = None
-    for log in logs:
-        own = _read_parts(spark, log, needed(parts_of(spark, log, since)))
-        rows = own if rows is None else rows.unionByName(own)
-    return spark.createDataFrame([], _LOG) if rows is None else rows
-
-
-def latest_results(changes: DataFrame) -> DataFrame:
-    """The newest row per (window, topic), a null topic being a key of its own.
-
-    Values and version are fixed-width, so this is a hash aggregate whose first
-    step runs before the shuffle. Filter `changes` by `window_date` and
-    `window_start` first: both belong to the key, so no version is lost. Rows of one
-    version and key are equal, whatever their level.
-    """
-    values = [n for n in WINDOWED_RESULT.names if n not in _KEY]
-    newest = changes.groupBy("window_date", *_KEY).agg(
-        F.max("version").alias("newest"),
-        F.max("level").alias("level"),
-        *(F.max_by(name, "version").alias(name) for name in values),
-    )
-    return newest.select(
-        *WINDOWED_RESULT.names, "window_date", F.col("newest").alias("version"), "level"
-    )
-
-
-def read_results(spark: SparkSession, *logs: str, since: date | None = None) -> DataFrame:
-    """The current results, with `window_date`."""
-    return latest_results(read_changes(spark, *logs, since=since)).drop("version", "level")
+def read_results(spark: SparkSession, *paths: str, since: date | None = None) -> DataFrame:
+    """The rows of result tables with their `revision` and `window_date`, of the dates
+    from `since` on; nothing where a table does not exist yet."""
+    found = spark.createDataFrame([], STORED) if not paths else None
+    for path in paths:
+        own = _read(spark, _rows(path), STORED)
+        found = own if found is None else found.unionByName(own)
+    return found if since is None else found.where(F.col("window_date") >= F.lit(since))
