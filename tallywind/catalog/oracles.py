@@ -380,11 +380,11 @@ FROM messages WHERE text IS NOT NULL GROUP BY label""",
 WITH {_MESSAGES}
 SELECT count(text) AS row_count, count(text) AS same_prediction FROM messages""",
     "predict": f"""
-WITH {_MESSAGES} SELECT id, label, true AS known_label FROM messages WHERE text IS NOT NULL""",
+WITH {_MESSAGES} SELECT id, label, true AS learned FROM messages WHERE text IS NOT NULL""",
     "evaluate_model": f"""
 WITH {_MESSAGES}
-SELECT count(*) AS row_count, true AS above_bound FROM messages
-WHERE text IS NOT NULL AND doc_id % 5 = 0""",
+SELECT label, count(*) AS row_count, true AS learned
+FROM messages WHERE text IS NOT NULL AND doc_id % 5 = 0 GROUP BY GROUPING SETS (label, ())""",
     "stream_upsert_5min": _WINDOWS_5,
     "stream_upsert_1hour": _WINDOWS_60,
     "stream_restart": _WINDOWS_60,
@@ -415,5 +415,6 @@ SELECT id, topic, {_clean('text')} AS text,
     "stream_score": f"""
 WITH parsed AS ({_PARSED})
 SELECT id, topic, {_clean('text')} AS text,
-       TRY_CAST(event_time AS TIMESTAMP) AS event_time_ts, true AS agrees FROM parsed""",
+       TRY_CAST(event_time AS TIMESTAMP) AS event_time_ts, true AS agrees,
+       CASE WHEN id IS NOT NULL THEN true END AS learned FROM parsed""",
 }

@@ -20,6 +20,7 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     Tokenizer,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,6 +138,12 @@ def predicted(model: SentimentModel, labelled: DataFrame) -> DataFrame:
     return model.score(model.labels.transform(labelled))
 
 
+def label_probability(predictions: DataFrame) -> DataFrame:
+    """Evaluated rows (`predicted`) with the `probability_of_label` the model gave."""
+    given = vector_to_array("probability")[F.col(LABEL_INDEX).cast("int")]
+    return predictions.withColumn("probability_of_label", given)
+
+
 def accuracy_of(predictions: DataFrame) -> float:
     evaluator = MulticlassClassificationEvaluator(
         labelCol=LABEL_INDEX, predictionCol="prediction", metricName="accuracy"

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -114,6 +115,36 @@ def test_evaluator_agrees_with_operator(model, labelled):
     assert own > 0.95
 
 
+def test_a_constant_model_fails_its_queries(spark, labelled, model, monkeypatch):
+    from tallywind.catalog import queries
+
+    rows_ = training.prepare(labelled)
+    good = {r["label"]: r["learned"] for r in queries.model_report(spark, model, rows_).collect()}
+    assert good == dict.fromkeys([*WORDS, None], True)
+    assert {r["learned"] for r in queries.prediction_rows(spark, model, rows_).collect()} == {True}
+    monkeypatch.setattr(training, "MAX_ITERATIONS", 0)
+    guess = training.fit(rows_)
+    assert guess.score(rows_).select("sentiment_label").distinct().count() == 1
+    bad = {r["label"]: r["learned"] for r in queries.model_report(spark, guess, rows_).collect()}
+    assert bad == {"Negative": True, "Positive": False, "Neutral": False, None: False}
+    predicted = queries.prediction_rows(spark, guess, rows_)
+    assert {(r["label"], r["learned"]) for r in predicted.collect()} == {
+        ("Negative", True), ("Positive", False), ("Neutral", False)
+    }
+
+
+def test_against_constant(spark):
+    from tallywind.operators.evaluation import against_constant
+
+    data = [("a", "a", 0.9), ("a", "a", 0.8), ("a", "b", 0.2), ("b", None, 0.5)]
+    df = spark.createDataFrame(data, "label string, made string, given double")
+    got = against_constant(df, "label", "made", "given").first()
+    assert (got.row_count, got.accuracy, got.majority_share) == (4, 0.5, 0.75)
+    assert got.log_loss == pytest.approx(-math.log(0.9 * 0.8 * 0.2 * 0.5) / 4)
+    shares = -(0.75 * math.log(0.75) + 0.25 * math.log(0.25))
+    assert got.constant_log_loss == pytest.approx(shares)
+
+
 def test_training_job(spark, tmp_path, capsys):
     for name, seed in (("train", 5), ("valid", 6)):
         df = spark.createDataFrame(list(made_up(120, seed)), LABELLED_TEXT)
