@@ -312,6 +312,8 @@ ORDER BY doc_id LIMIT 10""",
 WITH {_MESSAGES}
 SELECT doc_id AS id, topic, label, nullif(text, '') AS text FROM messages""",
     "csv_roundtrip_exact": f"""
+WITH {_MESSAGES} SELECT doc_id AS id, topic, label, text FROM messages""",
+    "csv_split": f"""
 WITH {_MESSAGES} SELECT doc_id AS id, topic, label, text FROM messages""",
     "post_flatten": f"""{_FLAT_WITH}
 SELECT * REPLACE (CAST(user_id AS VARCHAR) AS user_id) FROM flat""",
@@ -334,6 +336,16 @@ QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY created_at DESC, tweet_
     "collect_newest_2000": f"""{_COLLECTED_WITH}
 SELECT tweet_id, created_at, keyword FROM collected
 QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY created_at DESC, tweet_id DESC) <= 2000""",
+    "collect_many": f"""
+WITH {_POSTS},
+many AS (
+  SELECT a || b || c || d AS keyword
+  FROM (SELECT unnest(string_split('BCDFLMNRST', '')) AS a),
+       (SELECT unnest(string_split('aeio', '')) AS b),
+       (SELECT unnest(string_split('lnrst', '')) AS c),
+       (SELECT unnest(string_split('aent ', '')) AS d)),
+recent AS (SELECT doc_id, lower(text) AS text FROM posts WHERE created_at >= TIMESTAMP '2024-01-03')
+SELECT doc_id AS tweet_id, keyword FROM recent JOIN many ON contains(text, lower(keyword))""",
     "keyword_slug": f"""
 WITH {_MESSAGES}
 SELECT id, {_SLUG.format("('#' || topic || ' OR ' || label || ' AND ' || text)")} AS slug

@@ -18,7 +18,7 @@ from tallywind.catalog.views import AS_OF, LANGUAGES, POSTS_AS_OF
 from tallywind.functions.scores import label_of
 from tallywind.functions.text import clean_text, keyword_slug
 from tallywind.functions.times import event_timestamp, zoneless_times
-from tallywind.operators import evaluation, posts, profile, report, serving, terms
+from tallywind.operators import evaluation, keywords, posts, profile, report, serving, terms
 from tallywind.operators.windows import WATERMARK_BY_WIDTH, windowed_sentiment
 from tallywind.plans import collecting, scoring, training
 from tallywind.plans.panels import current_range
@@ -40,6 +40,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 KEYWORDS = ("the", "de la", "EAU", "ung")
 SEARCH_KEYWORD = "tion"
+# A thousand by rule: consonant, vowel, consonant, any of five letters.
+MANY_KEYWORDS = [
+    a + b + c + d for a in "BCDFLMNRST" for b in "aeio" for c in "lnrst" for d in "aent "
+]
 REGISTRY: dict[str, Query] = {}
 
 
@@ -272,6 +276,13 @@ def csv_roundtrip_exact(spark, sf_dir):
     return _lower_names(files.read_labelled_csv(spark, path, keep_empty=True))
 
 
+@register("csv_split")
+def csv_split(spark, sf_dir):
+    """The same file, read by a task per split."""
+    path = _written_csv(spark, sf_dir)
+    return _lower_names(files.read_labelled_csv(spark, path, keep_empty=True, split=True))
+
+
 # Collected posts
 
 
@@ -355,6 +366,15 @@ def collect_newest_2000(spark, sf_dir):
     return _newest(spark, sf_dir, 2000)
 
 
+@register("collect_many")
+def collect_many(spark, sf_dir):
+    """A thousand keywords."""
+    found = keywords.collect_by_many_keywords(
+        views.posts(spark, sf_dir), MANY_KEYWORDS, as_of=POSTS_AS_OF
+    )
+    return found.select(F.col("id").alias("tweet_id"), "keyword")
+
+
 @register("keyword_slug")
 def keyword_slugs(spark, sf_dir):
     words = F.concat(F.lit("#"), "Topic", F.lit(" OR "), "Label", F.lit(" AND "), "Text")

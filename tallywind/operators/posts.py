@@ -134,7 +134,7 @@ def scrub_lines(flat: DataFrame) -> DataFrame:
     )
 
 
-def _searched(posts: DataFrame, since: datetime, until: datetime | None) -> DataFrame:
+def searched(posts: DataFrame, since: datetime, until: datetime | None) -> DataFrame:
     found = posts.filter(F.col("created_at") >= instant(since))
     return found if until is None else found.filter(F.col("created_at") < instant(until))
 
@@ -154,7 +154,7 @@ def search_posts(
 ) -> DataFrame:
     """Posts that contain the keyword, by default of the seven days before
     `as_of`; `newest` keeps the latest ones."""
-    found = _searched(posts, since or as_of - DEFAULT_SEARCH_SPAN, until)
+    found = searched(posts, since or as_of - DEFAULT_SEARCH_SPAN, until)
     found = found.filter(_mentions(keyword))
     if newest is None:
         return found
@@ -178,12 +178,15 @@ def collect_by_keywords(
     keyword, in two steps whatever the number: a keyword's posts are ranked in
     `salts` parts, and only the newest of each part are ranked again together.
     """
-    found = _searched(posts, since or as_of - DEFAULT_SEARCH_SPAN, until)
+    found = searched(posts, since or as_of - DEFAULT_SEARCH_SPAN, until)
     tried = [F.when(_mentions(k), F.lit(k)) for k in keywords]
     matched = F.array_compact(F.array(*tried).cast("array<string>"))
     found = found.withColumn("keyword", F.explode(matched))
-    if newest is None:
-        return found
+    return found if newest is None else newest_per_keyword(found, newest, salts)
+
+
+def newest_per_keyword(found: DataFrame, newest: int, salts: int = 64) -> DataFrame:
+    """The latest posts of each keyword, ranked in `salts` parts and then together."""
     order = (F.desc("created_at"), F.desc("id"))
     salted = found.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
     for keys in (("keyword", "salt"), ("keyword",)):

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallywind.functions.text import keyword_slug
 from tallywind.schemas import ARCHIVE, LABELLED_TEXT, SCORED_POST
+from tallywind.sources.split_csv import read_split_csv
 
 # A quote inside a quoted field is written twice.
 _QUOTING = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
@@ -34,18 +35,23 @@ def read_labelled_csv(
     schema: T.StructType | None = LABELLED_TEXT,
     multi_line: bool = True,
     keep_empty: bool = False,
+    split: bool = False,
 ) -> DataFrame:
     """Headerless CSV of labelled texts; columns are named by position. A quoted
     empty field is null, as Spark reads it, unless `keep_empty`. Without a schema
     Spark infers the types, which costs a pass over the files.
 
-    Texts may hold line breaks. A file read that way is one task, so keep such
-    files to some hundred MB each, or pass `multi_line=False` for files with one
-    record per line, which Spark splits.
+    Texts may hold line breaks. A file read that way is one task: `split=True` reads it
+    by as many as it has splits, at the price of a shuffle of its lines, and
+    `multi_line=False` reads files with one record per line, which Spark splits itself.
     """
+    empties = _EMPTY_IS_TEXT if keep_empty else {}
+    if split:
+        if schema is None:
+            raise ValueError("a split file needs a schema")
+        return read_split_csv(spark, path, schema, {**_QUOTING, **empties}).toDF(*columns)
     reader = spark.read.option("header", False).option("multiLine", multi_line)
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    empties = _EMPTY_IS_TEXT if keep_empty else {}
     return reader.options(**_QUOTING, **empties).csv(path).toDF(*columns)
 
 

@@ -1,0 +1,62 @@
+import random
+import re
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallywind.operators.keywords import collect_by_many_keywords, matches
+from tallywind.operators.posts import collect_by_keywords
+from tests.helpers import plan, rows
+
+AS_OF = datetime(2024, 1, 10)
+
+
+def some_posts(spark, n=60):
+    dice = random.Random(8)
+    words = ["The", "cat", "catalogue", "éTÉ", "straße", "a.b", "x", "😀ok", "the\ncat", "  "]
+    texts = ["", None, *(" ".join(dice.choices(words, k=dice.randint(1, 9))) for _ in range(n))]
+    data = [(i, t, datetime(2024, 1, 9, i % 24)) for i, t in enumerate(texts)]
+    return spark.createDataFrame(data, "id long, text string, created_at timestamp")
+
+
+KEYWORDS = ["the", "CAT", "catalog", "é", "été", "STRASSE", "straße", "a.b", "😀", "😀o", "x", "zz"]
+KEYWORDS += ["the\nca", "t c", "alogue", "cat", "logue the cat", "  "]
+
+
+def brute_force(df, keywords):
+    posts = df.withColumn("lower", F.lower("text")).collect()
+    return sorted(
+        (p["id"], k)
+        for p in posts
+        for k in set(keywords)
+        if p["lower"] is not None and k.lower() in p["lower"]
+    )
+
+
+@pytest.mark.parametrize("keywords", [KEYWORDS, ["x"], ["cat", ""], [""], ["no such word"]])
+def test_matches_against_brute_force(spark, keywords):
+    posts = some_posts(spark)
+    found = matches(posts, keywords)
+    assert found.columns == [*posts.columns, "keyword"]
+    assert sorted((r["id"], r["keyword"]) for r in found.collect()) == brute_force(posts, keywords)
+
+
+def test_a_thousand_keywords_are_one_scan(spark):
+    posts = some_posts(spark, 200)
+    words = [f"{a}{b}{c}" for a in "abcdetlogu" for b in "abcdetlogu" for c in "abcdetlogu"]
+    found = matches(posts, words)
+    assert sorted((r["id"], r["keyword"]) for r in found.collect()) == brute_force(posts, words)
+    text = plan(matches(posts, words))
+    # the posts, and the table of keywords
+    assert len(re.findall(r"^\(\d+\) Scan", text, re.MULTILINE)) == 2
+    assert "SortMergeJoin" not in text and "EvalPython" not in text
+
+
+@pytest.mark.parametrize("newest", [None, 3])
+def test_agrees_with_a_comparison_per_keyword(spark, newest):
+    posts = some_posts(spark)
+    one = collect_by_keywords(posts, KEYWORDS, as_of=AS_OF, newest=newest)
+    other = collect_by_many_keywords(posts, KEYWORDS, as_of=AS_OF, newest=newest)
+    names = ["id", "keyword"]
+    assert rows(one.select(names)) == rows(other.select(names))

@@ -194,7 +194,8 @@ def test_only_dates_of_the_range_are_opened(spark):
         results.upsert(spark, batch_of(spark, (minute, "a", 0)), path, "s", batch)
     now = T0 + timedelta(minutes=2890)
     opened = current_range(spark, [path], now, 60, None)
-    assert opened.count() == 2 and plan(opened).count("PartitionFilters: [isnotnull(window_date") == 1
+    assert opened.count() == 2
+    assert plan(opened).count("PartitionFilters: [isnotnull(window_date") == 1
     assert len(results.read_results(spark, path).inputFiles()) == 3
 
 
