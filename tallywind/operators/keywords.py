@@ -14,19 +14,10 @@ from tallywind.operators.posts import DEFAULT_SEARCH_SPAN, newest_per_keyword, s
 GRAM = 4
 
 
-def _pieces(text: Column, sizes: Sequence[int]) -> Column:
-    """The distinct pieces of a text of the given sizes. Letters are an array, bound once:
-    cutting pieces out of the text would count its letters again for each."""
-
-    def of_size(letters: Column, size: int) -> Column:
-        places = F.sequence(F.lit(0), F.size(letters) - size)
-        cut = F.transform(places, lambda i: F.concat(*(letters[i + k] for k in range(size))))
-        return F.when(F.size(letters) >= size, cut).otherwise(F.array().cast("array<string>"))
-
-    def all_sizes(letters: Column) -> Column:
-        return F.array_distinct(F.concat(*(of_size(letters, size) for size in sizes)))
-
-    return F.transform(F.array(F.split(text, "")), all_sizes)[0]
+def _pieces(text: Column, size: int) -> Column:
+    """All pieces of a text of a size, overlapping ones too: a look ahead uses no letters
+    up. (A piece cut out of the text by its place would count the letters before it.)"""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
 
 
 def matches(posts: DataFrame, keywords: Sequence[str], text: str = "text") -> DataFrame:
@@ -64,10 +55,18 @@ def matches(posts: DataFrame, keywords: Sequence[str], text: str = "text") -> Da
     if not listed:
         rows = found.where(F.col("_lower").isNotNull())
         return rows.drop("_lower").withColumn("keyword", F.explode(every))
-    sizes = sorted({len(piece) for piece, _, _ in listed})
-    wanted = sorted({piece for piece, _, _ in listed})
     known = spark.createDataFrame(listed, "_piece string, _needle string, keyword string")
-    hit = F.filter(_pieces(F.col("_lower"), sizes), lambda piece: piece.isin(wanted))
+    wanted: dict[int, list[str]] = {}
+    for piece in sorted({piece for piece, _, _ in listed}):
+        wanted.setdefault(len(piece), []).append(piece)
+    hit = F.concat(
+        *(
+            F.array_distinct(
+                F.filter(_pieces(F.col("_lower"), size), lambda piece: piece.isin(pieces))
+            )
+            for size, pieces in wanted.items()
+        )
+    )
     hits = found.where(F.col("_lower").isNotNull()).withColumn("_piece", F.explode(hit))
     exact = hits.join(F.broadcast(known), "_piece").where(F.contains("_lower", "_needle"))
     kept = exact.select(*posts.columns, "keyword")

@@ -40,7 +40,8 @@ def _after(line: Column, state: int) -> Column:
     pieces = F.split(line, '"')
     first = text(F.lit(state), pieces[0])
     rest = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-    return F.aggregate(rest, first, lambda at, piece: text(quote(at), piece)) == _QUOTED
+    ends = F.aggregate(rest, first, lambda at, piece: text(quote(at), piece)) == _QUOTED
+    return F.when(F.contains(line, F.lit('"')), ends).otherwise(F.lit(state == _QUOTED))
 
 
 def _entries(lines: DataFrame) -> DataFrame:
