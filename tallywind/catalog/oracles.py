@@ -409,6 +409,18 @@ SELECT window_start, window_end, topic, total_mentions, positive, neutral, negat
        round(sentiment_score, 6) AS sentiment_score, versions
 FROM windowed JOIN arrived ON window_start = day_start AND topic IS NOT DISTINCT FROM of_topic""",
     "stream_compacted": _with(_SCORED, _windowed(1440)) + _WINDOWED_OUT,
+    "state_restart": f"""
+WITH {_SCORED}, runs(run) AS (VALUES (0::BIGINT), (1), (2))
+SELECT run,
+       count(DISTINCT (time_bucket(INTERVAL 1440 MINUTE, event_time_ts), coalesce(topic, '')))
+         AS windows,
+       count(*) FILTER (sentiment_label IN ('Positive', 'Neutral', 'Negative')) AS mentions
+FROM runs JOIN scored ON event_id % 3 <= run GROUP BY run""",
+    "state_eviction": f"""{_with(_SCORED, _windowed(60))}
+SELECT window_start, topic,
+       window_end > (SELECT max(event_time_ts) - INTERVAL 2 HOUR FROM scored) AS is_open,
+       true AS counts_agree
+FROM windowed""",
     "stream_late_drop": _with(_SCORED, _ON_TIME, _windowed(60, "on_time")) + _WINDOWED_OUT,
     "stream_archive": f"""
 WITH {_SCORED} SELECT id, topic, text, event_time_ts, sentiment_label FROM scored""",

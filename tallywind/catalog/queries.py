@@ -35,6 +35,7 @@ from tallywind.sources.messages import (
 )
 from tallywind.streaming.archive import start_archive
 from tallywind.streaming.results import read_results, start_upsert, upsert
+from tallywind.streaming.state import window_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -599,8 +600,8 @@ def stream_archive(spark, sf_dir):
     return _lower_names(files.read_archive(spark, f"{root}/posts"))
 
 
-def _deliveries(spark, deliveries, width, watermark=None):
-    """The table after a run per delivery, all from one checkpoint."""
+def _delivered(spark, deliveries, width, watermark=None):
+    """The folder of a table and its checkpoint after each of the runs, a delivery each."""
     root = new_folder(spark, "deliveries")
     for rows in deliveries:
         rows.write.mode("append").parquet(f"{root}/source")
@@ -609,7 +610,12 @@ def _deliveries(spark, deliveries, width, watermark=None):
             arriving, width, watermark=watermark or WATERMARK_BY_WIDTH[width]
         )
         _finish(start_upsert(windows, f"{root}/table", f"{root}/checkpoint", available_now=True))
-    return f"{root}/table"
+        yield root
+
+
+def _deliveries(spark, deliveries, width, watermark=None):
+    """The table after all runs."""
+    return f"{list(_delivered(spark, deliveries, width, watermark))[-1]}/table"
 
 
 #: A watermark that lets rows of the whole time in.
@@ -649,6 +655,38 @@ def stream_compacted(spark, sf_dir):
     return _stored(spark, path)
 
 
+@register("state_restart")
+def state_restart(spark, sf_dir):
+    """What the state holds after each of three runs: it goes on from the run before."""
+    held = []
+    for run, root in enumerate(_delivered(spark, _interleaved(spark, sf_dir), "1 day", LENIENT)):
+        state = window_state(spark, f"{root}/checkpoint")
+        mentions = F.col("positive") + F.col("neutral") + F.col("negative")
+        totals = state.agg(F.count("*").alias("windows"), F.sum(mentions).alias("mentions"))
+        # Read now: the next run changes the state.
+        held.append((run, *totals.first()))
+    return spark.createDataFrame(held, "run long, windows long, mentions long")
+
+
+@register("state_eviction")
+def state_eviction(spark, sf_dir):
+    """Every window of the table, and whether the query still holds it open."""
+    parts = [views.scored(spark, sf_dir)]
+    (root,) = _delivered(spark, parts, "1 hour")
+    state = window_state(spark, f"{root}/checkpoint").withColumn("is_open", F.lit(True))
+    stored = read_results(spark, f"{root}/table")
+    key = ("window_start", "topic")
+    met = [F.col(f"t.{name}").eqNullSafe(F.col(f"s.{name}")) for name in key]
+    joined = stored.alias("t").join(state.alias("s"), met, "left")
+    return joined.select(
+        *(F.col(f"t.{name}") for name in key),
+        F.coalesce("is_open", F.lit(False)).alias("is_open"),
+        F.coalesce(F.col("s.positive") == F.col("t.positive"), F.col("is_open").isNull()).alias(
+            "counts_agree"
+        ),
+    )
+
+
 @register("stream_late_drop")
 def stream_late_drop(spark, sf_dir):
     """Positive and neutral posts of the first nine days arrive with the last ones."""
