@@ -203,10 +203,19 @@ def near_duplicates(
     however large. Repeated rows are returned as often as they come. A row without
     an id belongs to its component, whose id is null only if no member has one.
     """
+    return _classes(docs, doc_id, text, shingle, radius).select("doc_id", "fp", "component_id")
+
+
+def _classes(
+    docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int, row: str | None = None
+) -> DataFrame:
+    """`doc_id, row, fp, component, component_id`: component is a fingerprint that names
+    the component, and row a column that numbers the rows, if there is one."""
     ready_for_python(docs)
     marked = written(
         docs.select(
             F.col(doc_id).alias("doc_id"),
+            (F.lit(None) if row is None else F.col(row)).cast("long").alias("row"),
             fingerprint_column(whole_text(text), shingle).alias("fp"),
         ),
         "fingerprints",
@@ -221,16 +230,27 @@ def near_duplicates(
     )
     least = classes.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = classes.join(least, "component").select(
-        F.col("fp").alias("class_fp"), "component_id"
-    )
-    return marked.join(named, F.col("fp") == F.col("class_fp")).select(
-        "doc_id", "fp", "component_id"
+        F.col("fp").alias("class_fp"), "component", "component_id"
     )
+    return marked.join(named, F.col("fp") == F.col("class_fp")).drop("class_fp")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each component: the one whose id names it. Rows without an id
-    and later rows that repeat an id are kept, since ids can't tell them apart."""
-    found = near_duplicates(docs, doc_id, text, **options)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col(doc_id) == F.col("gone_id"), "left_anti")
+def keep_one(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
+) -> DataFrame:
+    """One row of each component: of the rows with its smallest id the first. A row
+    without an id is kept only where no row of the component has one. Ids that repeat or
+    are missing decide nothing else: rows are told apart by their number."""
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = _classes(numbered, doc_id, text, shingle, radius, row)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    first = found.groupBy("component").agg(F.min(order).alias("first"))
+    kept = first.select(F.col("first.row").alias("kept_row"))
+    return numbered.join(kept, F.col(row) == F.col("kept_row"), "left_semi").drop(row)

@@ -58,7 +58,7 @@ def test_oracles(spark, tables, name):
     from tests.helpers import comparable
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"create view {t} as select * from '{tables}/{t}.parquet'")
     assert comparable(QUERIES[name](spark, tables).toPandas()) == comparable(con.execute(ORACLES[name]).df())
 
@@ -76,6 +76,9 @@ def test_columns_of_the_queries(spark, tables, name):
         "op8_quality": "doc_id bigint held_out boolean score double predicted int",
         "op9_toxicity": "doc_id bigint held_out boolean score double predicted int",
         "op10_repetition": "doc_id bigint n_words bigint word_chars bigint n_symbols bigint n_dup_lines bigint n_repeat_words bigint base_failed boolean kept boolean",
+        "op11_whitening": "vec_id bigint component int n bigint deviation bigint whitened double explained double identity_error double",
+        "op12_neighbours": "query_id bigint rank int vec_id bigint score double",
+        "op13_conversations": "conv_id bigint gaps bigint blank bigint duplicate bigint truncated bigint illegal bigint cost bigint audit string repaired_sha256 string",
     }
     found = QUERIES[name](spark, tables)
     assert " ".join(f"{n} {t}" for n, t in found.dtypes) == fixed[name]

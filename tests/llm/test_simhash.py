@@ -112,3 +112,14 @@ def test_documents(spark):
     ids = [r["doc_id"] for r in kept.collect()]
     assert 3 in ids and 6 in ids and 4 not in ids and 12 not in ids
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
+
+
+def test_one_row_of_each_component_is_kept_whatever_its_id(spark):
+    a, b, c = ("first text of all", "another one, with other words", "the third says something else")
+    rows = [(1, a), (5, a), (5, b), (None, a), (None, a), (7, c), (7, c), (None, "no id at all")]
+    kept = simhash.keep_one(docs(spark, rows)).collect()
+    texts = {1: a, 5: b, 7: c, None: "no id at all"}
+    assert len(kept) == 4 and {r["doc_id"]: r["text"] for r in kept} == texts
+    assert kept[0].asDict()["row"] == "x"
+    nothing = simhash.keep_one(docs(spark, []))
+    assert nothing.columns == docs(spark, []).columns and nothing.count() == 0
