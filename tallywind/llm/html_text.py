@@ -76,14 +76,21 @@ class Options:
 
 OPTIONS = Options()
 
+#: Deeper elements have the path of their ancestor at this depth: the paths of n nested
+#: tags would otherwise take n * n characters. Nothing else about them differs.
+DEEPEST_PATH = 200
+
 
 class Element:
     __slots__ = ("tag", "parent", "furniture", "path", "depth", "selected")
 
     def __init__(self, tag: str, parent: Element | None, furniture: bool):
         self.tag, self.parent, self.furniture = tag, parent, furniture
-        self.path = f"{parent.path}>{tag}" if parent else tag
         self.depth = parent.depth + 1 if parent else 0
+        if self.depth > DEEPEST_PATH:
+            self.path = parent.path
+        else:
+            self.path = f"{parent.path}>{tag}" if parent else tag
         self.selected = 0
 
 
@@ -120,17 +127,19 @@ def _hinted(tag: str, names: str) -> bool:
     return False
 
 
-#: Deeper elements belong to the last one that is tracked: the path of a page of n
-#: nested tags would otherwise take n * n characters.
-DEEPEST = 200
-
-
 def text_nodes(page: str, named: bool = True) -> Iterator[tuple[int, Element, str]]:
     """`block number, element, text` of each text node outside of furniture, in page
     order. Tags may be left open or closed twice; what is no tag is text. Without
     `named`, only the names of elements tell what is furniture."""
     root = Element("", None, False)
     stack = [root]
+    opened: dict[str, int] = {}  # open elements by name
+
+    def close(k: int) -> None:
+        for element in stack[k:]:
+            opened[element.tag] -= 1
+        del stack[k:]
+
     block, at, size = 0, 0, len(page)
     while at < size:
         less = page.find("<", at)
@@ -140,13 +149,13 @@ def text_nodes(page: str, named: bool = True) -> Iterator[tuple[int, Element, st
         if less < 0:
             return
         if page.startswith("<!--", less):
-            close = page.find("-->", less + 4)
-            at = size if close < 0 else close + 3
+            ended = page.find("-->", less + 4)
+            at = size if ended < 0 else ended + 3
             continue
         follow = page[less + 1 : less + 2]
         if follow in ("!", "?"):
-            close = page.find(">", less)
-            at = size if close < 0 else close + 1
+            ended = page.find(">", less)
+            at = size if ended < 0 else ended + 1
             continue
         found = TAG.match(page, less) or LOOSE.match(page, less)
         if not found:
@@ -161,9 +170,9 @@ def text_nodes(page: str, named: bool = True) -> Iterator[tuple[int, Element, st
         if tag in BLOCKS:
             block += 1
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened.get(tag) else ():
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    close(k)
                     break
                 if tag not in BLOCKS and stack[k].tag in BLOCKS:
                     break  # an inline end tag closes nothing outside of its block
@@ -171,33 +180,32 @@ def text_nodes(page: str, named: bool = True) -> Iterator[tuple[int, Element, st
         if tag in RAW:
             if attributes.endswith("/"):
                 continue
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
-            if close is None:
+            ended = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
+            if ended is None:
                 return
-            stop = page.find(">", close.end())
+            stop = page.find(">", ended.end())
             at = size if stop < 0 else stop + 1
             continue
         if tag in VOID:
             if tag == "br" and not stack[-1].furniture:
                 yield block, stack[-1], " "
             continue
-        ends = ENDS.get(tag, frozenset())
-        for k in range(len(stack) - 1, 0, -1):
+        ends = ENDS.get(tag, set()) | ({"p"} if tag in BLOCKS else set())
+        for k in range(len(stack) - 1, 0, -1) if any(map(opened.get, ends)) else ():
             open_tag = stack[k].tag
-            if open_tag in ends or open_tag == "p" and tag in BLOCKS:
-                del stack[k:]
+            if open_tag in ends:
+                close(k)
             elif open_tag in FENCES:
                 break
-        if len(stack) > DEEPEST:
-            continue
         parent = stack[-1]
         furniture = parent.furniture or _announces(tag, attributes if named else "")
         if furniture and not parent.furniture and tag == "header":
             # the heading of an article may stand in the article's own header
-            furniture = not any(e.tag in ("article", "main") for e in stack)
+            furniture = not (opened.get("article") or opened.get("main"))
         elif not furniture and parent.tag == "header":
             furniture = tag not in HEADINGS and tag not in ("hgroup", "div")
         stack.append(Element(tag, parent, furniture))
+        opened[tag] = opened.get(tag, 0) + 1
 
 
 def _blocks(page: str, named: bool = True) -> list[tuple[Element, list[tuple[Element, str]]]]:
@@ -261,41 +269,57 @@ def main_text(page: str, options: Options = OPTIONS) -> str:
     least = options.threshold * mean
     total = 0
     selected = set()
+    elements: dict[Element, None] = {}  # all that hold a block, in page order
     for holder, nodes in blocks:
         chosen = sum(len(t) for e, t in nodes if t.strip() and scores[e.path] >= least)
         if chosen:
             selected.add(holder.path)
             total += chosen
-            element = nodes[0][0]
-            while element:
-                element.selected += chosen
+        nodes[0][0].selected += chosen
+        for first in (holder, nodes[0][0]):
+            element = first
+            while element and element not in elements:
+                elements[element] = None
                 element = element.parent
+    # what an element has selected counts in all around it, the deepest ones first
+    for element in sorted(elements, key=lambda e: -e.depth):
+        if element.parent:
+            element.parent.selected += element.selected
 
     def ancestors(element):
         while element:
             yield element
             element = element.parent
 
-    core = None
+    core, held, seen = None, options.held * total, set()
     for holder, _ in blocks:
         for e in ancestors(holder):
-            if e.selected >= options.held * total and (core is None or e.depth > core.depth):
+            if e in seen:
+                break
+            seen.add(e)
+            if e.selected >= held and (core is None or e.depth > core.depth):
                 core = e
     if core.tag in ("p", *HEADINGS, "li", "td", "blockquote"):
         core = core.parent
     # whatever holds the core holds most of the selected text, too
     article = next((e for e in ancestors(core) if e.tag in ("article", "main")), core)
-    spine = []
+    # per element whether the article holds it, and by which branch off the spine
+    placed: dict[Element | None, tuple[bool, Element | None]] = {None: (False, None)}
     for e in ancestors(core):
-        spine.append(e)
+        placed[e] = (True, None)
         if e is article:
             break
     branches = []
     for holder, _ in blocks:
-        branch, above = None, holder
-        while above and above not in spine:
-            branch, above = above, above.parent
-        branches.append((above is not None, branch))
+        way, above = [], holder
+        while above not in placed:
+            way.append(above)
+            above = above.parent
+        inside, branch = placed[above]
+        for e in reversed(way):
+            branch = branch or e
+            placed[e] = (inside, branch)
+        branches.append((inside, branch))
     plain = {b for (_, b), (h, _) in zip(branches, blocks, strict=True) if b and h.tag not in HEADINGS}
     kept = []
     for k, (inside, branch) in enumerate(branches):

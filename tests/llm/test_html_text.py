@@ -126,3 +126,15 @@ def test_rows(spark):
     want = sorted([(1, "u", TEXT, len(TEXT)), (2, None, "", 0), (1, "u", TEXT, len(TEXT)), (None, "v", "", 0)], key=repr)
     assert got == want
     assert extract(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_elements_of_any_depth():
+    deep = 250 * "<div>" + "<p>Deep words, which stay.</p><nav>no menu</nav>" + 250 * "</div>"
+    page = (
+        "<body><nav>menu here</nav><div id=page><article><p>First words, of the article.</p>"
+        f"{deep}<p>Last words, of the article.</p></article></div></body>"
+    )
+    words = ["First words, of the article.", "Deep words, which stay.", "Last words, of the article."]
+    assert html_text.main_text(page) == "\n\n".join(words)
+    assert html_text.main_text(20_000 * "<div>" + "words, here." + 20_000 * "</div>") == "words, here."
+    assert html_text.main_text(20_000 * "<b>" + "words, here." + 20_000 * "</i>") == "words, here."
