@@ -135,6 +135,6 @@ def test_elements_of_any_depth():
         f"{deep}<p>Last words, of the article.</p></article></div></body>"
     )
     words = ["First words, of the article.", "Deep words, which stay.", "Last words, of the article."]
-    assert html_text.main_text(page) == "\n\n".join(words)
-    assert html_text.main_text(20_000 * "<div>" + "words, here." + 20_000 * "</div>") == "words, here."
-    assert html_text.main_text(20_000 * "<b>" + "words, here." + 20_000 * "</i>") == "words, here."
+    assert main_text(page) == "\n\n".join(words)
+    assert main_text(20_000 * "<div>" + "words, here." + 20_000 * "</div>") == "words, here."
+    assert main_text(20_000 * "<b>" + "words, here." + 20_000 * "</i>") == "words, here."
