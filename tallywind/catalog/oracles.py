@@ -242,6 +242,25 @@ SELECT CAST(minutes_back AS BIGINT) AS minutes_back, {_SUMS}
 FROM ranges LEFT JOIN windowed
   ON window_start >= TIMESTAMP '2024-01-30 12:00:00' - minutes_back * INTERVAL 1 MINUTE
 GROUP BY minutes_back""",
+    "recent_stored": _WINDOWS_5 + " ORDER BY window_start DESC, topic NULLS LAST LIMIT 20",
+    "kpi_stored_ranges": f"""{_with(_SCORED, _windowed(5))},
+ranges(minutes_back) AS (
+  VALUES (15), (30), (45), (60), (120), (240), (480), (720), (1440), (2880), (10080))
+SELECT CAST(minutes_back AS BIGINT) AS minutes_back, {_SUMS}
+FROM ranges LEFT JOIN windowed
+  ON window_start >= TIMESTAMP '2024-01-30 12:00:00' - minutes_back * INTERVAL 1 MINUTE
+GROUP BY minutes_back""",
+    "topics_stored": f"""{_over_range(10080)}
+SELECT topic, CAST(sum(total_mentions) AS BIGINT) AS total_mentions FROM ranged
+WHERE topic IS NOT NULL GROUP BY topic ORDER BY total_mentions DESC, topic LIMIT 5""",
+    "share_stored": f"""{_over_range(2880)},
+shares AS (
+  SELECT 'Positive' AS sentiment, sum(positive) AS mentions FROM ranged
+  UNION ALL SELECT 'Neutral', sum(neutral) FROM ranged
+  UNION ALL SELECT 'Negative', sum(negative) FROM ranged)
+SELECT sentiment, CAST(mentions AS BIGINT) AS mentions,
+       round(100 * mentions / (SELECT sum(mentions) FROM shares), 6) AS share_percent
+FROM shares""",
     "trend_resample_5m": _trend(120, 5),
     "trend_resample_15m": _trend(1440, 15),
     "trend_resample_1h": _trend(10080, 60),
@@ -424,6 +443,9 @@ FROM windowed""",
     "stream_late_drop": _with(_SCORED, _ON_TIME, _windowed(60, "on_time")) + _WINDOWED_OUT,
     "stream_archive": f"""
 WITH {_SCORED} SELECT id, topic, text, event_time_ts, sentiment_label FROM scored""",
+    "archive_lookup": f"""
+WITH {_SCORED} SELECT id, topic, text, event_time_ts, sentiment_label FROM scored
+WHERE event_id % 997 = 0 AND event_id BETWEEN 0 AND 99999""",
     "stream_job": f"""
 WITH {_SCORED}
 SELECT 'archive' AS sink, count(*) AS row_count FROM scored

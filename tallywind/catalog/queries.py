@@ -21,7 +21,7 @@ from tallywind.functions.times import event_timestamp, zoneless_times
 from tallywind.operators import evaluation, keywords, posts, profile, report, serving, terms
 from tallywind.operators.windows import WATERMARK_BY_WIDTH, windowed_sentiment
 from tallywind.plans import collecting, scoring, training
-from tallywind.plans.panels import current_range
+from tallywind.plans.panels import current_range, stored_kpi_all_ranges, stored_panels
 from tallywind.schemas import ENVELOPE, SCORED_POST, WINDOWED_RESULT
 from tallywind.session import new_folder, pin_utc
 from tallywind.sources import files
@@ -33,8 +33,8 @@ from tallywind.sources.messages import (
     start_publishing,
     to_messages,
 )
-from tallywind.streaming.archive import start_archive
-from tallywind.streaming.results import read_results, start_upsert, upsert
+from tallywind.streaming.archive import lookup_posts, start_archive
+from tallywind.streaming.results import newest_rows, read_results, start_upsert, upsert
 from tallywind.streaming.state import window_state
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,12 +103,43 @@ def results_filter(spark, sf_dir):
 @register("results_stored")
 def results_stored(spark, sf_dir):
     """The same range of a stored table, where it prunes folders and row groups."""
-    path = new_folder(spark, "stored")
-    upsert(spark, views.results(spark, sf_dir), path, "load", 0)
-    current = current_range(spark, [path], AS_OF, 2880, "topic_3")
+    current = current_range(spark, [_stored_table(spark, sf_dir)], AS_OF, 2880, "topic_3")
     return _rounded(current.select(*WINDOWED_RESULT.names), "sentiment_score")
 
 
+def _stored_table(spark, sf_dir, rollups=False):
+    """All five-minute results as a table."""
+    path = new_folder(spark, "stored")
+    upsert(spark, views.results(spark, sf_dir), path, "load", 0, rollups=rollups)
+    return path
+
+
+@register("recent_stored")
+def recent_stored(spark, sf_dir):
+    return _rounded(
+        newest_rows(spark, _stored_table(spark, sf_dir)).select(*WINDOWED_RESULT.names),
+        "sentiment_score",
+    )
+
+
+@register("kpi_stored_ranges")
+def kpi_stored_ranges(spark, sf_dir):
+    """All ranges from daily, hourly and five-minute rows."""
+    return stored_kpi_all_ranges(spark, _stored_table(spark, sf_dir, rollups=True), AS_OF)
+
+
+@register("topics_stored")
+def topics_stored(spark, sf_dir):
+    path = _stored_table(spark, sf_dir, rollups=True)
+    return stored_panels(spark, path, AS_OF, 10080)["top_topics"]
+
+
+@register("share_stored")
+def share_stored(spark, sf_dir):
+    path = _stored_table(spark, sf_dir, rollups=True)
+    return _rounded(stored_panels(spark, path, AS_OF, 2880)["share"], "share_percent")
+
+
 @register("kpi_summary")
 def kpi_summary(spark, sf_dir):
     return serving.kpi_summary(_range(spark, sf_dir, 10080))
@@ -600,6 +631,16 @@ def stream_archive(spark, sf_dir):
     return _lower_names(files.read_archive(spark, f"{root}/posts"))
 
 
+@register("archive_lookup")
+def archive_lookup(spark, sf_dir):
+    """Posts by their ids, every 997th of the first hundred thousand."""
+    root = new_folder(spark, "archive")
+    scored = views.scored_stream(spark, sf_dir)
+    _finish(start_archive(scored, f"{root}/posts", f"{root}/checkpoint", available_now=True))
+    ids = [str(k) for k in range(0, 100_000, 997)]
+    return _lower_names(lookup_posts(spark, f"{root}/posts", ids))
+
+
 def _delivered(spark, deliveries, width, watermark=None):
     """The folder of a table and its checkpoint after each of the runs, a delivery each."""
     root = new_folder(spark, "deliveries")

@@ -85,11 +85,17 @@ def kpi_all_ranges(results: DataFrame, as_of: datetime) -> DataFrame:
     bands = widest.groupBy(band.alias("band")).agg(*(F.sum(n).alias(n) for n in _COUNTS))
     every = F.array(*(F.lit(m).cast("long") for m in RANGE_MINUTES))
     longer = F.filter(every, lambda minutes: minutes >= F.col("band"))
-    added = bands.select(F.explode(longer).alias("minutes_back"), *_COUNTS)
+    return totals_per_range(bands.select(F.explode(longer).alias("minutes_back"), *_COUNTS))
+
+
+def totals_per_range(added: DataFrame) -> DataFrame:
+    """The totals of every range from rows with a range's `minutes_back` and counts."""
+    every = F.array(*(F.lit(m).cast("long") for m in RANGE_MINUTES))
     zeros = (F.lit(0).cast("long").alias(name) for name in _COUNTS)
-    empty = results.sparkSession.range(1).select(F.explode(every).alias("minutes_back"), *zeros)
+    empty = added.sparkSession.range(1).select(F.explode(every).alias("minutes_back"), *zeros)
     sums = (F.sum(name).alias(name) for name in _COUNTS)
-    return _with_net_score(added.unionByName(empty).groupBy("minutes_back").agg(*sums))
+    counted = added.select("minutes_back", *_COUNTS).unionByName(empty)
+    return _with_net_score(counted.groupBy("minutes_back").agg(*sums))
 
 
 def trend(results: DataFrame, width: str) -> DataFrame:

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallywind.functions.times import utc_date
 from tallywind.schemas import ARCHIVE, SCORED_POST
+from tallywind.sources.files import read_archive
+
+
+# A Bloom filter per row group, by which a lookup by id skips nearly all of them. A stream
+# takes the settings of Parquet not from its options but from the session it starts in.
+_ID_FILTER = "parquet.bloom.filter.enabled#id"
 
 
 def start_archive(
@@ -35,7 +43,13 @@ def start_archive(
         writer = writer.trigger(availableNow=True)
     elif trigger:
         writer = writer.trigger(processingTime=trigger)
-    return writer.start()
+    settings = scored.sparkSession.conf
+    before = settings.get(_ID_FILTER, None)
+    settings.set(_ID_FILTER, "true")
+    try:
+        return writer.start()
+    finally:
+        settings.unset(_ID_FILTER) if before is None else settings.set(_ID_FILTER, before)
 
 
 def archive_stream(
@@ -49,6 +63,16 @@ def archive_stream(
     return reader.parquet(path).select(*SCORED_POST.names)
 
 
+def lookup_posts(
+    spark: SparkSession, path: str, ids: Sequence[str], *, date_range=None
+) -> DataFrame:
+    """The archived posts with one of the ids, from the row groups whose Bloom filter may
+    hold one; a (first, last) pair of dates leaves out folders as well. The ids are those
+    of a request: they become part of the plan."""
+    posts = read_archive(spark, path, date_range=date_range)
+    return posts.filter(F.col("id").isin(list(ids)))
+
+
 def start_console(
     df: DataFrame, checkpoint: str, *, rows: int = 20, output_mode: str = "append"
 ) -> StreamingQuery:

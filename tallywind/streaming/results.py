@@ -27,6 +27,7 @@ transactions and use its MERGE here.
 from __future__ import annotations
 
 import math
+import re
 import uuid
 from datetime import date
 
@@ -42,6 +43,7 @@ from tallywind.session import mark, marked, remove_folder
 
 _KEY = ("window_date", "window_start", "window_end", "topic")
 _VALUES = [n for n in WINDOWED_RESULT.names if n not in _KEY]
+COUNTS = ("total_mentions", "positive", "neutral", "negative")
 
 #: A stored row also has the number of batches that wrote it, and its date.
 STORED = T.StructType(
@@ -53,6 +55,13 @@ STORED = T.StructType(
 )
 
 
+_DAY = re.compile(r"/window_date=(\d{4}-\d\d-\d\d)/")
+
+#: A row of the hourly or daily sums.
+ROLLED_UP = T.StructType(
+    [f for f in STORED.fields if f.name in ("window_start", "topic", *COUNTS, "window_date")]
+)
+
 #: Rows of a file, and files that a task writes one after the other.
 ROWS_PER_FILE = 250_000
 FILES_PER_TASK = 50
@@ -130,13 +139,38 @@ def stage(
 
 
 def publish(
-    spark: SparkSession, folder: str, path: str, rows_per_file: int = ROWS_PER_FILE
+    spark: SparkSession,
+    folder: str,
+    path: str,
+    rows_per_file: int = ROWS_PER_FILE,
+    rollups: bool = False,
 ) -> None:
-    """Overwrite dates with their staged contents. A large date is cut into parts of
+    """Overwrite dates with their staged contents, and with `rollups` their sums per hour
+    and per day, which follow from a date's rows alone."""
+    contents = spark.read.schema(STORED).parquet(f"{folder}/contents")
+    _overwrite(contents, _rows(path), rows_per_file)
+    for width, name in (ROLLUPS if rollups else {}).items():
+        _overwrite(rolled_up(contents, width), f"{path}/{name}", rows_per_file)
+
+
+#: Widths that sums are kept for, each a multiple of the one before, and their folders.
+ROLLUPS = {"hour": "hours", "day": "days"}
+
+
+def rolled_up(rows: DataFrame, width: str) -> DataFrame:
+    """Sums per topic of the windows that start in an hour or a day (of UTC)."""
+    seconds = {"hour": 3_600, "day": 86_400}[width]
+    start = F.timestamp_seconds(F.floor(F.unix_seconds("window_start") / seconds) * seconds)
+    return rows.groupBy(start.alias("window_start"), "topic", "window_date").agg(
+        *(F.sum(name).alias(name) for name in COUNTS)
+    )
+
+
+def _overwrite(contents: DataFrame, target: str, rows_per_file: int) -> None:
+    """Overwrite the dates of the contents. A large date is cut into parts of
     about `rows_per_file` rows, for each of which there is a task; small dates share
     tasks, some FILES_PER_TASK each. The parts per date are a small frame that is joined;
     nothing in the plan grows with the dates."""
-    contents = spark.read.schema(STORED).parquet(f"{folder}/contents")
     parts = contents.groupBy("window_date").agg(
         F.ceil(F.count("*") / F.lit(rows_per_file)).alias("parts")
     )
@@ -146,10 +180,10 @@ def publish(
     dealt = contents.join(F.broadcast(parts), "window_date").repartition(
         tasks, "window_date", part
     )
-    writer = dealt.select(*STORED.names).write.mode("overwrite")
+    writer = dealt.select(*contents.columns).write.mode("overwrite")
     writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("window_date").parquet(_rows(path))
+    writer.partitionBy("window_date").parquet(target)
 
 
 def commit(spark: SparkSession, path: str, sink: str, batch_id: int) -> None:
@@ -167,6 +201,7 @@ def upsert(
     sink: str,
     batch_id: int,
     rows_per_file: int = ROWS_PER_FILE,
+    rollups: bool = False,
 ) -> None:
     """Bring the changes of a batch into the table, once however often it is called."""
     if marked(spark, _committed(path, sink, batch_id)):
@@ -174,7 +209,7 @@ def upsert(
         return
     folder = stage(spark, changes, path, sink, batch_id)
     if folder is not None:
-        publish(spark, folder, path, rows_per_file)
+        publish(spark, folder, path, rows_per_file, rollups)
         commit(spark, path, sink, batch_id)
 
 
@@ -185,14 +220,18 @@ def start_upsert(
     *,
     available_now: bool = False,
     trigger: str | None = None,
+    rollups: bool = False,
 ) -> StreamingQuery:
-    """Keep a table up to date with a windowed stream (update mode). `trigger` is the
-    time between batches; a batch costs its dates' rows, so let it gather some."""
+    """Keep a table up to date with a windowed stream (update mode), with `rollups` its
+    hourly and daily sums too. `trigger` is the time between batches; a batch costs its
+    dates' rows, so let it gather some."""
     # The session a batch arrives in has runtime re-planning switched off.
     spark = windowed.sparkSession
     sink = sink_of(spark, checkpoint)
     writer = windowed.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-    writer = writer.foreachBatch(lambda rows, batch: upsert(spark, rows, path, sink, batch))
+    writer = writer.foreachBatch(
+        lambda rows, batch: upsert(spark, rows, path, sink, batch, rollups=rollups)
+    )
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif trigger:
@@ -208,3 +247,23 @@ def read_results(spark: SparkSession, *paths: str, since: date | None = None) ->
         own = _read(spark, _rows(path), STORED)
         found = own if found is None else found.unionByName(own)
     return found if since is None else found.where(F.col("window_date") >= F.lit(since))
+
+
+def read_rollup(spark: SparkSession, path: str, width: str) -> DataFrame:
+    """The sums per hour or day that a table keeps."""
+    return _read(spark, f"{path}/{ROLLUPS[width]}", ROLLED_UP)
+
+
+def newest_rows(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
+    """The newest windows of a table, ties by topic. Dates are opened from the newest
+    on, twice as many each time, until they have enough rows: a window starts on its date,
+    so no older date can hold a newer one."""
+    stored = read_results(spark, path)
+    days = sorted({m[1] for m in map(_DAY.search, stored.inputFiles()) if m}, reverse=True)
+    opened, taken = stored.limit(0), 0
+    while taken < len(days):
+        taken = min(len(days), max(1, 2 * taken))
+        opened = stored.where(F.col("window_date") >= F.lit(days[taken - 1]).cast("date"))
+        if len(opened.select("window_date").head(n)) == n:
+            break
+    return opened.orderBy(F.desc("window_start"), F.asc_nulls_last("topic")).limit(n)
