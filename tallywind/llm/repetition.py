@@ -1,7 +1,9 @@
 """Quality rules on repetition: how much of a text lies in repeated n-grams and lines.
 
-Words become numbers, n-grams become rolling polynomial hashes of these numbers, all
-in numpy, one text at a time. A character counts once however many duplicated
+Words become numbers, n-grams become hashes of these numbers, mixed by doubling from
+shorter windows, all in numpy, one text at a time. Long n-grams count wherever they
+return; short ones, which return in any text, where they follow themselves, as in the
+stutter of generated junk (`so so much so much`). A character counts once however many duplicated
 n-grams cover it. 64-bit hashes stand for the n-grams: two different ones of a text
 with m n-grams collide with a chance of about m * m / 2^65.
 """
@@ -32,6 +34,9 @@ class Limits:
         default_factory=lambda: {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
     )
     lines: float = 0.20
+    #: Lengths of n-grams that count where they follow themselves, and their limit together.
+    stutter: tuple[int, ...] = (1, 2, 3, 4)
+    stuttered: float = 0.20
     least_words: int = 10
     repeated_percent: int = 20
 
@@ -40,7 +45,7 @@ LIMITS = Limits()
 
 COLUMNS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "line_share double, gram_shares array<double>"
+    "line_share double, stutter_share double, gram_shares array<double>"
 )
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -95,14 +100,25 @@ def covered(starts: np.ndarray, n: int, words: int) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-def measure(text: str, lengths: tuple[int, ...]) -> tuple:
+def stuttered(numbers: np.ndarray, lengths: tuple[int, ...]) -> np.ndarray:
+    """True for each word inside an n-gram that repeats the one right before it."""
+    found = np.zeros(len(numbers), bool)
+    for n in lengths:
+        if len(numbers) >= 2 * n:
+            hashes = rolling_hashes(numbers, n)
+            again = np.append(np.zeros(n, bool), hashes[n:] == hashes[:-n])
+            found |= covered(again, n, len(numbers))
+    return found
+
+
+def measure(text: str, lengths: tuple[int, ...], stutter: tuple[int, ...] = ()) -> tuple:
     """The columns of COLUMNS for one text."""
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.split()
     count = len(words)
     symbols = len(raw) - len(raw.translate(None, SYMBOLS))
     if not count:
-        return 0, 0, symbols, 0, 0, 0.0, [0.0] * len(lengths)
+        return 0, 0, symbols, 0, 0, 0.0, 0.0, [0.0] * len(lengths)
     if raw.isascii():
         sizes = np.fromiter(map(len, words), np.int64, count)
     else:
@@ -131,7 +147,8 @@ def measure(text: str, lengths: tuple[int, ...]) -> tuple:
         if n in lengths:
             again = later is not None and later.any()
             shares.append(float(sizes[covered(later, n, count)].sum()) / total if again else 0.0)
-    return count, total, symbols, dup_lines, repeat_words, dup_chars / total, shares
+    stutters = float(sizes[stuttered(numbers, stutter)].sum()) / total
+    return count, total, symbols, dup_lines, repeat_words, dup_chars / total, stutters, shares
 
 
 def repetition(
@@ -151,7 +168,8 @@ def repetition(
     def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in COLUMNS.split(", ")]
         for texts in batches:
-            yield pd.DataFrame([measure(t, lengths) for t in texts], columns=names)
+            rows = [measure(t, lengths, limits.stutter) for t in texts]
+            yield pd.DataFrame(rows, columns=names)
 
     found = docs.select(
         F.col(doc_id).alias("doc_id"), measured(whole_text(text)).alias("m")
@@ -159,7 +177,7 @@ def repetition(
     failed = (F.col("n_words") < limits.least_words) | (
         100 * F.col("n_repeat_words") > limits.repeated_percent * F.col("n_words")
     )
-    over = F.col("line_share") > limits.lines
+    over = (F.col("line_share") > limits.lines) | (F.col("stutter_share") > limits.stuttered)
     for k, n in enumerate(lengths):
         over = over | (F.col("gram_shares")[k] > limits.grams[n])
     return found.withColumn("base_failed", failed).withColumn("kept", ~failed & ~over)

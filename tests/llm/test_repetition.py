@@ -29,8 +29,15 @@ def slow(text):
             chars += sum(map(len, parts))
         seen.add(line)
     shares = [sum(len(words[k]) for k in inside(n, False)) / total if total else 0.0 for n in LENGTHS]
+    stutter = set()
+    for n in LIMITS.stutter:
+        for k in range(n, len(words) - n + 1):
+            if words[k : k + n] == words[k - n : k]:
+                stutter.update(range(k, k + n))
     symbols = sum(c in "#*$%&|<>" for c in text)
-    return len(words), total, symbols, dup, len(inside(5)), chars / total if total else 0.0, shares
+    parts = [chars, sum(len(words[k]) for k in stutter)]
+    parts = [part / total if total else 0.0 for part in parts]
+    return len(words), total, symbols, dup, len(inside(5)), *parts, shares
 
 
 def texts():
@@ -42,9 +49,20 @@ def texts():
 
 @pytest.mark.parametrize("text", [t or "" for t in ODD if t is None or len(t) < 3000] + texts())
 def test_against_brute_force(text):
-    got, want = measure(text, LENGTHS), slow(text)
+    got, want = measure(text, LENGTHS, LIMITS.stutter), slow(text)
     assert got[:5] == want[:5]
-    assert got[5] == pytest.approx(want[5]) and got[6] == pytest.approx(want[6])
+    assert got[5:7] == pytest.approx(want[5:7]) and got[7] == pytest.approx(want[7])
+
+
+def test_the_method_decides_where_the_base_rule_does_not(spark):
+    stutter = " ".join(f"w{k} w{k} w{k}" for k in range(30))
+    twice = " ".join(f"a{k} b{k} a{k} b{k}" for k in range(30))
+    once = " ".join(f"w{k}" for k in range(90)) + " very very good"
+    lines = "\n".join([*(f"line {k} of many" for k in range(20)), *["a b c d"] * 12])
+    found = by_id(repetition(docs(spark, [(1, stutter), (2, twice), (3, once), (4, lines)])))
+    assert [found[k]["base_failed"] for k in (1, 2, 3)] == [False] * 3
+    assert [found[k]["kept"] for k in (1, 2, 3)] == [False, False, True]
+    assert not found[4]["kept"]
 
 
 def test_rows(spark):
