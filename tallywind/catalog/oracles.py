@@ -93,7 +93,7 @@ FROM spine LEFT JOIN bins USING (bin_start)"""
 def _clean(column: str) -> str:
     url = rf"https?://[^{_SP}]+|www\.[^{_SP}]+|\.com[^{_SP}]+|youtu\.be/[^{_SP}]+"
     step = f"regexp_replace({column}, '{url}', '', 'g')"
-    step = f"lower(regexp_replace({step}, '[@#][\\p{{L}}\\p{{N}}_]+', '', 'g'))"
+    step = f"lower(regexp_replace({step}, '(@|#)[\\p{{L}}\\p{{N}}_]+', '', 'g'))"
     step = f"regexp_replace({step}, '[^a-zA-Z{_SP}]', '', 'g')"
     return f"coalesce(trim(regexp_replace({step}, '[{_SP}]+', ' ', 'g')), '')"
 
@@ -301,6 +301,7 @@ SELECT id, array_to_string(list_filter(tokens,
          lambda t: t <> '' AND NOT list_contains({_stop_words()}, t)), '|') AS tokens
 FROM tokenized""",
     "vocabulary": _VOCABULARY,
+    "vocabulary_top": _VOCABULARY.replace("LIMIT 10000", "LIMIT 500"),
     "publish_json": f"WITH {_MESSAGES} SELECT id, topic, text, event_time FROM messages",
     "stream_publish": f"WITH {_MESSAGES} SELECT id, topic, text, event_time FROM messages",
     "parse_messages": _PARSED,
@@ -345,6 +346,12 @@ SELECT tweet_id, CAST(user_id AS VARCHAR) AS user_id, username, user_name,
     "post_search": f"""
 WITH {_POSTS}
 SELECT doc_id AS tweet_id, created_at, text FROM posts
+WHERE contains(lower(text), 'tion') AND created_at >= TIMESTAMP '2024-01-03'
+  AND created_at < TIMESTAMP '2024-01-06'
+ORDER BY created_at DESC, doc_id DESC LIMIT 100""",
+    "post_search_indexed": f"""
+WITH {_POSTS}
+SELECT doc_id AS tweet_id, created_at, text FROM posts
 WHERE contains(lower(text), 'tion') AND created_at >= TIMESTAMP '2024-01-03'
   AND created_at < TIMESTAMP '2024-01-06'
 ORDER BY created_at DESC, doc_id DESC LIMIT 100""",

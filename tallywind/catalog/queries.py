@@ -18,7 +18,16 @@ from tallywind.catalog.views import AS_OF, LANGUAGES, POSTS_AS_OF
 from tallywind.functions.scores import label_of
 from tallywind.functions.text import clean_text, keyword_slug
 from tallywind.functions.times import event_timestamp, zoneless_times
-from tallywind.operators import evaluation, keywords, posts, profile, report, serving, terms
+from tallywind.operators import (
+    evaluation,
+    keywords,
+    post_index,
+    posts,
+    profile,
+    report,
+    serving,
+    terms,
+)
 from tallywind.operators.windows import WATERMARK_BY_WIDTH, windowed_sentiment
 from tallywind.plans import collecting, scoring, training
 from tallywind.plans.panels import current_range, stored_kpi_all_ranges, stored_panels
@@ -245,6 +254,15 @@ def vocabulary(spark, sf_dir):
     return terms.vocabulary(terms.content_tokens(rows))
 
 
+@register("vocabulary_top")
+def vocabulary_top(spark, sf_dir):
+    """The 500 commonest terms by way of hash buckets, over stored tokens."""
+    path = new_folder(spark, "top-tokens")
+    rows = training.prepare(views.messages(spark, sf_dir)).select("Text")
+    terms.content_tokens(rows).select("final_tokens").write.parquet(path)
+    return terms.frequent_terms(spark.read.parquet(path), size=500, buckets=1 << 12)
+
+
 @register("publish_json")
 def publish_json(spark, sf_dir):
     sent = to_messages(views.messages(spark, sf_dir), F.col("event_time"))
@@ -375,6 +393,24 @@ def post_search(spark, sf_dir):
     return found.select(F.col("id").alias("tweet_id"), "created_at", "text")
 
 
+@register("post_search_indexed")
+def post_search_indexed(spark, sf_dir):
+    """The same search of stored posts that have an index."""
+    root = new_folder(spark, "indexed")
+    views.posts(spark, sf_dir).repartitionByRange(16, "created_at").write.parquet(f"{root}/posts")
+    post_index.build_index(spark, f"{root}/posts", f"{root}/index")
+    found = post_index.search_stored(
+        spark,
+        f"{root}/posts",
+        f"{root}/index",
+        SEARCH_KEYWORD,
+        as_of=POSTS_AS_OF,
+        until=POSTS_AS_OF - timedelta(days=4),
+        newest=100,
+    )
+    return found.select(F.col("id").alias("tweet_id"), "created_at", "text")
+
+
 @register("collect_union")
 def collect_union(spark, sf_dir):
     found = posts.collect_by_keywords(views.posts(spark, sf_dir), KEYWORDS, as_of=POSTS_AS_OF)

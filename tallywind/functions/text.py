@@ -21,7 +21,7 @@ _WORD = r"[\p{L}\p{N}_]"
 SERVING_URL = (
     rf"https?://{_NOT_SPACE}+|www\.{_NOT_SPACE}+|\.com{_NOT_SPACE}+|youtu\.be/{_NOT_SPACE}+"
 )
-SERVING_TAG = rf"[@#]{_WORD}+"
+SERVING_TAG = rf"(@|#){_WORD}+"
 SERVING_DROP = rf"[^a-z{_SPACE}]"
 SERVING_BLANKS = rf"[{_SPACE}]++"
 TRAINING_URL = r"https?://\S+|www\.\S+|S+\.com\S+|youtu\.be/\S+"

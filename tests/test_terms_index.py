@@ -1,0 +1,66 @@
+import random
+from datetime import datetime
+
+import pytest
+
+from tallywind.operators import post_index
+from tallywind.operators.posts import search_posts
+from tallywind.operators.terms import frequent_terms, vocabulary
+from tallywind.session import new_folder
+from tests.helpers import rows
+
+AS_OF = datetime(2024, 1, 10)
+
+
+def corpus(spark, kind):
+    dice = random.Random(3)
+    if kind == "empty":
+        return spark.createDataFrame([([],)], "final_tokens array<string>")
+    words = [f"w{i}" for i in range(400)]
+    weights = {"flat": [1] * 400, "steep": [1 / (i + 1) for i in range(400)]}.get(kind, [1] * 400)
+    data = [(dice.choices(words, weights, k=dice.randint(0, 30)),) for _ in range(300)]
+    if kind == "ties":  # every word equally often, and in as many rows
+        data = [(words[i::7] * 2,) for i in range(7) for _ in range(6)]
+    return spark.createDataFrame(data, "final_tokens array<string>")
+
+
+@pytest.mark.parametrize("kind", ["flat", "steep", "ties", "empty"])
+@pytest.mark.parametrize(("size", "buckets"), [(10, 64), (10, 4096), (1000, 16), (50, 1)])
+def test_frequent_terms_are_the_vocabulary(spark, kind, size, buckets):
+    df = corpus(spark, kind)
+    for min_docs in (1, 5):
+        whole = vocabulary(df, size=size, min_docs=min_docs)
+        found = frequent_terms(df, size=size, min_docs=min_docs, buckets=buckets)
+        assert [tuple(r) for r in found.collect()] == [tuple(r) for r in whole.collect()]
+
+
+@pytest.fixture(scope="module")
+def stored(spark):
+    """Eight files of posts, each with words of its own."""
+    root = new_folder(spark, "posts")
+    day, data = datetime(2024, 1, 9), [(900, None, datetime(2024, 1, 9), 0)]
+    for i in range(160):
+        own = "éTÉ " * (i % 8 == 3)
+        data.append((i, f'Common words {own}of file{i % 8}name\nand "more"', day, i % 8))
+    data.append((901, "", day, 1))
+    df = spark.createDataFrame(data, "id long, text string, created_at timestamp, part int")
+    df.repartitionById(8, "part").drop("part").write.parquet(f"{root}/posts")
+    post_index.build_index(spark, f"{root}/posts", f"{root}/index")
+    return root
+
+
+@pytest.mark.parametrize(
+    ("keyword", "files"),
+    [("FILE5name", 1), ("common", 8), ("été ", 1), ("no such text", 0), ("of", None), ("e\nan", 8)],
+)
+def test_a_search_opens_files_that_may_hold_it(spark, stored, keyword, files):
+    found = post_index.candidate_files(spark, f"{stored}/index", keyword)
+    assert found is None if files is None else len(found) == files
+    searched = post_index.search_stored(
+        spark, f"{stored}/posts", f"{stored}/index", keyword, as_of=AS_OF
+    )
+    whole = search_posts(spark.read.parquet(f"{stored}/posts"), keyword, as_of=AS_OF)
+    assert rows(searched) == rows(whole)
+    assert (whole.count() == 0) == (files == 0)
+    if files:
+        assert len(searched.inputFiles()) == files
