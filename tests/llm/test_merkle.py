@@ -51,6 +51,41 @@ def test_likeness_and_edits(spark):
     assert got[3]["n"] < 0.3
 
 
+def brute_likeness(a, b):
+    """By descent from the root, with sets of nodes."""
+    if a[: merkle.ROOT] == b[: merkle.ROOT]:
+        return 1.0
+
+    def codes(node):
+        return [node[k : k + merkle.CODE] for k in range(0, len(node), merkle.CODE)]
+
+    left, right = (set(x[merkle.ROOT + 1 :].split("/")) for x in (a, b))
+    common = sum(len(codes(s.replace(";", ""))) for s in left & right)
+    left, right = ({p for s in x - y for p in s.split(";")} for x, y in ((left, right), (right, left)))
+    common += sum(len(codes(p)) for p in left & right)
+    left, right = ({c for p in x - y for c in codes(p)} for x, y in ((left, right), (right, left)))
+    common += len(left & right)
+    whole = 2 * common + len(left ^ right)
+    return 2 * common / whole if whole else 0.0
+
+
+def test_likeness_by_descent(spark):
+    rng = random.Random(5)
+    texts = [t or "" for t in ODD] + ["\n", "\n\n\n"]
+    for _ in range(25):
+        lines = [prose(rng, rng.randint(1, 40)).replace("\n", " ") for _ in range(rng.randint(1, 60))]
+        edited = [x for x in lines if rng.random() > 0.1]
+        edited[rng.randint(0, len(edited)) :] += [prose(rng, 30)]
+        texts += ["\n".join(lines), "\n".join(edited), "\n".join(edited * 2)]
+    found = prints(spark, texts)
+    pairs = list(zip(found, found[1:] + found[:1], strict=True)) + [(rng.choice(found), rng.choice(found)) for _ in range(200)]
+    df = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k int, a string, b string")
+    got = df.select("k", merkle.likeness(F.col("a"), F.col("b")).alias("n")).orderBy("k").collect()
+    want = [brute_likeness(*p) for p in pairs]
+    assert [r["n"] for r in got] == want
+    assert any(0 < w < 1 for w in want)
+
+
 def by_hand(rows):
     """Edited texts in order of id; rows have distinct ids."""
     order = sorted(rows, key=lambda r: r[0])
