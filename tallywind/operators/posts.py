@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tallywind.functions.times import instant
 
 DEFAULT_SEARCH_SPAN = timedelta(days=7)
+# Rows of users that Spark may broadcast at most, if its own estimate says so.
+BROADCAST_USERS = 20_000
 
 
 def latest_users(
@@ -35,10 +37,12 @@ def join_authors(
     The larger side is the posts, and one author may have written a large share
     of them. Users are therefore repeated once per salt and a post meets only
     the copy of its own salt, which cuts every author's posts into `salts`
-    parts; what is still too big is left to AQE. Spark may broadcast the users where
-    its own estimate of their size allows it, and that estimate does not count the
-    copies: take 1 salt where the users are small. Posts without an author never
+    parts; what is still too big is left to AQE. Posts without an author never
     match and take salts without bound, which spreads them over all tasks.
+
+    Spark's own estimate of the users is of their compressed files and counts no
+    copies, so it may decide on a broadcast of up to `BROADCAST_USERS` rows only;
+    more users are always shuffled.
     """
     user = F.struct(*(F.col(n) for n in users.columns if n != order_column)).alias("user")
     keyed_users = latest_users(users, order_column).select(
@@ -48,6 +52,8 @@ def join_authors(
             "salt_key"
         ),
     )
+    if users.limit(BROADCAST_USERS + 1).count() > BROADCAST_USERS:
+        keyed_users = keyed_users.hint("merge")
     spread = F.xxhash64("id")
     salt = F.when(F.col("author_id").isNull(), spread).otherwise(
         F.pmod(spread, F.lit(salts).cast("long"))

@@ -113,6 +113,22 @@ def test_hot_author_is_split_over_tasks(spark, users):
     assert tasks > 1
 
 
+def test_users_are_broadcast_up_to_a_number_of_rows(spark):
+    """Whatever Spark thinks their size is: they are copied, and files are compressed."""
+    written = spark.range(10).select("id", F.col("id").alias("author_id"))
+
+    def joined(n):
+        users = spark.range(n).selectExpr("id", "concat('u', id) username", "1 seen_at")
+        return ops.join_authors(written, users, "seen_at").select("id", "user.username")
+
+    many = joined(ops.BROADCAST_USERS + 1)
+    assert "SortMergeJoin" in plan(many) and "BroadcastExchange" not in plan(many)
+    assert rows(many) == [(i, f"u{i}") for i in range(10)]
+    few = joined(ops.BROADCAST_USERS)
+    assert "BroadcastExchange" in plan(few)
+    assert rows(few) == rows(many)
+
+
 def test_search(posts):
     def found(**options):
         return [r.id for r in ops.search_posts(posts, "DATA", as_of=T0, **options).collect()]
