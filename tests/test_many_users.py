@@ -52,3 +52,10 @@ def test_report_lists(spark, many, monkeypatch):
     assert len(plans) == 4
     assert all("SortMergeJoin" in p and "BroadcastExchange" not in p for p in plans)
     assert comparable(found) == _wanted(many, "report_lists")
+
+
+def test_post_report(spark, many):
+    """No task holds all users: they are sorted and merged."""
+    found = REGISTRY["post_report"](spark, many)
+    assert "SortMergeJoin" in plan(found) and "BroadcastExchange" not in plan(found)
+    assert comparable(found.toPandas()) == _wanted(many, "post_report")
