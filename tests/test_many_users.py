@@ -10,6 +10,7 @@ from tallywind.catalog.oracles import ORACLES
 from tallywind.catalog.queries import REGISTRY
 from tallywind.operators.posts import BROADCAST_USERS
 from tallywind.plans import collecting
+from tallywind.sources import files
 from tests.helpers import comparable, plan
 
 
@@ -59,3 +60,11 @@ def test_post_report(spark, many):
     found = REGISTRY["post_report"](spark, many)
     assert "SortMergeJoin" in plan(found) and "BroadcastExchange" not in plan(found)
     assert comparable(found.toPandas()) == _wanted(many, "post_report")
+
+
+def test_report_json(spark, many, monkeypatch):
+    plans = _spied(monkeypatch, files)
+    found = REGISTRY["report_json"](spark, many).toPandas()
+    assert len(plans) == 1
+    assert "SortMergeJoin" in plans[0] and "BroadcastExchange" not in plans[0]
+    assert comparable(found) == _wanted(many, "report_json")
