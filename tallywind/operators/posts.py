@@ -20,13 +20,23 @@ def latest_users(
 ) -> DataFrame:
     """One row per user id: the one with the highest `order_column`, among equals the
     one whose values hash highest, so that every run keeps the same row. The rank is
-    two fixed-width values; of the rest only `columns` (all by default) travel."""
+    two fixed-width values; of the rest only `columns` (all by default) travel.
+
+    Spark sorts the rows of a task before it combines them, and a file of one row group
+    is one task however long it is. What a task has read is therefore dealt out by id
+    first, and a user's rows of one task are combined before those of all tasks meet."""
     kept = [n for n in users.columns if n not in ("id", order_column)]
     wanted = [n for n in (kept if columns is None else columns) if n != "id"]
     tie = F.xxhash64(*(F.to_json(F.struct(n)) for n in sorted(kept)))
-    rank = F.struct(F.col(order_column), tie)
-    last = F.max_by(F.struct(*wanted), rank).alias("last")
-    return users.groupBy("id").agg(last).select("id", "last.*")
+    ranked = users.select(
+        "id",
+        F.struct(*wanted).alias("values"),
+        F.struct(F.col(order_column), tie).alias("rank"),
+        F.spark_partition_id().alias("read_by"),
+    )
+    last = F.max_by("values", "rank").alias("last")
+    dealt = ranked.repartition("id", "read_by")
+    return dealt.groupBy("id").agg(last).select("id", "last.*")
 
 
 def join_authors(

@@ -1,6 +1,7 @@
 """Reports over more users than may be broadcast: what is run, and what comes out."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -47,6 +48,14 @@ def _spied(monkeypatch, module):
     return plans
 
 
+def _read_with(text, column):
+    """What the tasks that read the table with this column do before they send its rows."""
+    steps = re.findall(r"^\(\d+\) (\w+).*\n(.*)", text, re.M)
+    [scan] = [i for i, (name, out) in enumerate(steps) if name == "Scan" and column in out]
+    names = [name for name, _ in steps[scan:]]
+    return names[: names.index("Exchange")]
+
+
 def test_report_lists(spark, many, monkeypatch):
     plans = _spied(monkeypatch, collecting)
     found = REGISTRY["report_lists"](spark, many).toPandas()
@@ -62,6 +71,12 @@ def test_post_report(spark, many):
     assert comparable(found.toPandas()) == _wanted(many, "post_report")
 
 
+def test_post_report_sorts_no_whole_file(spark, many):
+    """A file of one row group is one task, which sends its users before any are sorted."""
+    found = _read_with(plan(REGISTRY["post_report"](spark, many)), "c_custkey")
+    assert found[0] == "Scan" and not any("Sort" in name for name in found)
+
+
 def test_report_json(spark, many, monkeypatch):
     plans = _spied(monkeypatch, files)
     found = REGISTRY["report_json"](spark, many).toPandas()

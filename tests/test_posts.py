@@ -129,6 +129,20 @@ def test_users_are_broadcast_up_to_a_number_of_rows(spark):
     assert rows(few) == rows(many)
 
 
+def test_latest_users_of_one_task_are_ranked_by_many(spark):
+    """Each task of the first ranking gets a part of what one task has read, and rows of
+    one user that several tasks have read still meet."""
+    seen = spark.range(0, 3000, 1, 3).selectExpr(
+        "id % 1000 id", "concat('u', id) username", "id % 7 name", "id div 1000 seen_at"
+    )
+    assert rows(ops.latest_users(seen, "seen_at")) == sorted(
+        ((i, f"u{2000 + i}", (2000 + i) % 7) for i in range(1000)), key=repr
+    )
+    one = spark.range(0, 3000, 1, 1).selectExpr("id", "concat('u', id) username", "1 seen_at")
+    dealt = plan(ops.latest_users(one, "seen_at")).split("\n\n")[0]
+    assert "Exchange" in dealt.rsplit("Sort", 1)[1]
+
+
 def test_search(posts):
     def found(**options):
         return [r.id for r in ops.search_posts(posts, "DATA", as_of=T0, **options).collect()]
