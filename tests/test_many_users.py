@@ -83,3 +83,10 @@ def test_report_json(spark, many, monkeypatch):
     assert len(plans) == 1
     assert "SortMergeJoin" in plans[0] and "BroadcastExchange" not in plans[0]
     assert comparable(found) == _wanted(many, "report_json")
+
+
+def test_report_json_sorts_no_whole_file(spark, many, monkeypatch):
+    plans = _spied(monkeypatch, files)
+    REGISTRY["report_json"](spark, many)
+    [found] = [_read_with(text, "c_custkey") for text in plans]
+    assert found[0] == "Scan" and not any("Sort" in name for name in found)
